@@ -102,9 +102,13 @@ def read_scenes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of a product listing: every page file holds {"value": [...]}; paging is a union of files."""
-    pages = spark.read.schema(PRODUCT_PAGE).option("multiLine", True).json(path)
+def read_products(spark: SparkSession, path: str, pretty: bool = False) -> DataFrame:
+    """Pages of a product listing, each {"value": [...]}; paging is a union of pages and files.
+
+    A page is one line, as a service sends it. `pretty` reads files that hold one page over
+    several lines each; such a file cannot be split, but a page is small.
+    """
+    pages = spark.read.schema(PRODUCT_PAGE).option("multiLine", pretty).json(path)
     v = pages.select(F.explode("value").alias("p")).select("p.*")
     shape = rings_of(F.col("GeoFootprint.type"), F.col("GeoFootprint.coordinates"))
     return v.select(
