@@ -1,8 +1,10 @@
 """Areas of interest: GeoJSON geometries as ring arrays."""
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellsheaf import schemas
 
@@ -40,3 +42,18 @@ def from_geojson(aoi_id: str, geometry: dict) -> Aoi:
 
 def frame(spark: SparkSession, aois: list[Aoi]) -> DataFrame:
     return spark.createDataFrame([(a.aoi_id, a.geom_type, list(a.rings)) for a in aois], schemas.AOI)
+
+
+def column(aois: list[Aoi]) -> Column:
+    """The areas as one array<struct<aoi_id,geom_type,rings>> constant, whatever their vertex count."""
+    rows = [
+        {
+            "aoi_id": a.aoi_id,
+            "geom_type": a.geom_type,
+            "rings": [
+                {"part": p, "hole": h, "pts": [{"x": x, "y": y} for x, y in pts]} for p, h, pts in a.rings
+            ],
+        }
+        for a in aois
+    ]
+    return F.from_json(F.lit(json.dumps(rows)), f"array<{schemas.AOI.simpleString()}>")

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellsheaf.aoi import Aoi
-from cellsheaf.functions import rings
+from cellsheaf.aoi import column as aoi_column
+from cellsheaf.functions import projections, rings
 from cellsheaf.operators.cells import centre_x, centre_y, with_grid
 from cellsheaf.operators.spatial import bbox_overlap, pair_by_bbox
 
@@ -213,31 +214,49 @@ def covered_spans(areas: DataFrame, rule: str) -> DataFrame:
     return _merged(spans, keys) if rule == "touched" else spans
 
 
-def areas_on_grids(grids: DataFrame, aois: DataFrame) -> DataFrame:
-    """Rasters paired with the areas whose boxes overlap theirs, with window and edges."""
+def areas_on_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame") -> DataFrame:
+    """Rasters paired with the areas they overlap, with edges in raster coordinates and pixel window.
+
+    A list is placed on every grid row as a constant. A table that names its rasters
+    (column raster_id, as scene matching yields it) joins on that. Both are projected to the
+    CRS of the grid (`epsg`, NULL meaning 4326). A table without raster_id is paired by
+    boxes, which needs grids in longitude and latitude.
+    """
+    epsg = F.coalesce("epsg", F.lit(4326)) if "epsg" in grids.columns else F.lit(4326)
+    g = grids.select("raster_id", *AFFINE, epsg.alias("epsg"))
     far_x, far_y = F.col("x0") + F.col("width") * F.col("dx"), F.col("y0") + F.col("height") * F.col("dy")
-    box = F.struct(
+    frame = F.struct(
         F.least("x0", far_x).alias("minx"),
         F.least("y0", far_y).alias("miny"),
         F.greatest("x0", far_x).alias("maxx"),
         F.greatest("y0", far_y).alias("maxy"),
     )
-    left = grids.select(F.col("raster_id").alias("id"), box.alias("bbox"), *AFFINE)
-    right = aois.select(
-        F.col("aoi_id").alias("id"),
-        rings.bounds(F.col("rings")).alias("bbox"),
-        rings.edges(F.col("rings")).alias("edges"),
-    )
-    p = pair_by_bbox(left, right)
-    p = p.select(
-        F.col("l_id").alias("raster_id"),
-        F.col("r_id").alias("aoi_id"),
-        F.col("r_edges").alias("edges"),
-        F.col("r_bbox").alias("bbox"),
-        *[F.col(f"l_{a}").alias(a) for a in AFFINE],
+    if isinstance(aois, list):
+        p = g.withColumn("_a", F.explode(aoi_column(aois))).select(*g.columns, "_a.aoi_id", "_a.rings")
+    elif "raster_id" in aois.columns:
+        p = aois.select("raster_id", "aoi_id", "rings").join(g, "raster_id")
+    else:
+        left = g.select(F.col("raster_id").alias("id"), frame.alias("bbox"), *AFFINE, "epsg")
+        right = aois.select(F.col("aoi_id").alias("id"), rings.bounds(F.col("rings")).alias("bbox"), "rings")
+        pairs = pair_by_bbox(left, right)
+        p = pairs.select(
+            F.col("l_id").alias("raster_id"),
+            *[F.col(f"l_{k}").alias(k) for k in (*AFFINE, "epsg")],
+            F.col("r_id").alias("aoi_id"),
+            F.col("r_rings").alias("rings"),
+        )
+    placed = F.when(F.col("epsg") == 4326, F.col("rings")).otherwise(
+        projections.project_rings(F.col("rings"), F.col("epsg"))
     )
+    p = p.withColumn("rings", placed).withColumn("bbox", rings.bounds(F.col("rings")))
     b = F.col("bbox")
-    return p.select("*", *_window(b["minx"], b["miny"], b["maxx"], b["maxy"]))
+    return p.where(bbox_overlap(b, frame)).select(
+        "raster_id",
+        "aoi_id",
+        rings.edges(F.col("rings")).alias("edges"),
+        *AFFINE,
+        *_window(b["minx"], b["miny"], b["maxx"], b["maxy"]),
+    )
 
 
 def _blocks(lo: Column, hi: Column) -> Column:
@@ -254,8 +273,7 @@ def _join_spans(cells: DataFrame, areas: DataFrame, rule: str) -> DataFrame:
     )
 
 
-def _span_marks(cells: DataFrame, grids: DataFrame, aois: DataFrame, rule: str) -> DataFrame:
-    areas = areas_on_grids(grids, aois)
+def _span_marks(cells: DataFrame, areas: DataFrame, rule: str) -> DataFrame:
     spans = covered_spans(areas, rule).withColumn("_cb", _blocks(F.col("c_from"), F.col("c_to")))
     window = (
         areas.select("aoi_id", "raster_id", "c0", "c1", "r0", "r1")
@@ -286,28 +304,27 @@ def _span_marks(cells: DataFrame, grids: DataFrame, aois: DataFrame, rule: str)
 # ---------------------------------------------------------------- operators
 
 
-def _few(aois, rule: str) -> bool:
+def _few(aois, rule: str, lonlat: bool) -> bool:
     per_edge = {"centre": 1, "touched": 2}[rule]
-    return isinstance(aois, list) and per_edge * sum(len(a.edges) for a in aois) <= INLINE_TESTS
+    return lonlat and isinstance(aois, list) and per_edge * sum(len(a.edges) for a in aois) <= INLINE_TESTS
 
 
-def _as_frame(cells: DataFrame, aois) -> DataFrame:
-    from cellsheaf.aoi import frame
-
-    return frame(cells.sparkSession, aois) if isinstance(aois, list) else aois
-
+def clip(
+    cells: DataFrame, grids: DataFrame, aois: "list[Aoi] | DataFrame", rule: str = "centre", lonlat: bool = True
+) -> DataFrame:
+    """Cells inside each area, with `aoi_id`. All variables and time steps go through in one pass.
 
-def clip(cells: DataFrame, grids: DataFrame, aois: "list[Aoi] | DataFrame", rule: str = "centre") -> DataFrame:
-    """Cells inside each area, with `aoi_id`. All variables and time steps go through in one pass."""
-    if _few(aois, rule):
+    `lonlat=False` says that grids may have other CRSs: areas are then projected per grid.
+    """
+    if _few(aois, rule, lonlat):
         return _inline_marks(cells, grids, aois, rule).where("inside").select(*cells.columns, "aoi_id")
-    return _join_spans(cells, areas_on_grids(grids, _as_frame(cells, aois)), rule)
+    return _join_spans(cells, areas_on_grids(grids, aois), rule)
 
 
 def crop_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame") -> DataFrame:
     """Grid of each raster shrunk to the window of each area it overlaps."""
-    areas = areas_on_grids(grids, _as_frame(grids, aois)).where("c0 < c1 and r0 < r1")
-    rest = grids.select("raster_id", *[c for c in grids.columns if c not in (*AFFINE, "raster_id")])
+    areas = areas_on_grids(grids, aois).where("c0 < c1 and r0 < r1")
+    rest = grids.select("raster_id", *[c for c in grids.columns if c not in (*AFFINE, "raster_id", "aoi_id")])
     return areas.join(rest, "raster_id").select(
         "aoi_id",
         "raster_id",
@@ -328,27 +345,31 @@ def crop_window(
     rule: str = "centre",
     outside: str | None = None,
     fill: float | None = None,
+    values: tuple[str, ...] = ("v",),
+    lonlat: bool = True,
 ) -> DataFrame:
     """Cells in the window of each area, renumbered from the window's corner.
 
-    `outside` decides about window cells the area does not cover: None leaves their value,
-    "null" clears it, "fill" writes `fill` (a nodata number).
+    `outside` decides about window cells the area does not cover: None leaves their values,
+    "null" clears them, "fill" writes `fill` (a nodata number).
     """
-    marks = _inline_marks(cells, grids, aois, rule) if _few(aois, rule) else None
-    if marks is None:
-        marks = _span_marks(cells, grids, _as_frame(cells, aois), rule)
-    v = {
-        None: F.col("v"),
-        "null": F.when(F.col("inside"), F.col("v")),
-        "fill": F.when(F.col("inside"), F.col("v")).otherwise(F.lit(fill)),
-    }[outside]
-    in_window = (F.col("c") >= F.col("c0")) & (F.col("c") < F.col("c1")) & (F.col("r") >= F.col("r0")) & (
-        F.col("r") < F.col("r1")
-    )
+    if _few(aois, rule, lonlat):
+        marks = _inline_marks(cells, grids, aois, rule)
+    else:
+        marks = _span_marks(cells, areas_on_grids(grids, aois), rule)
+
+    def value(name):
+        if outside is None:
+            return F.col(name)
+        kept = F.when(F.col("inside"), F.col(name))
+        return kept if outside == "null" else kept.otherwise(F.lit(fill))
+
+    r, c = F.col("r"), F.col("c")
+    in_window = (c >= F.col("c0")) & (c < F.col("c1")) & (r >= F.col("r0")) & (r < F.col("r1"))
     return (
         marks.where(in_window)
-        .withColumn("v", v)
-        .withColumn("r", (F.col("r") - F.col("r0")).cast("int"))
-        .withColumn("c", (F.col("c") - F.col("c0")).cast("int"))
+        .withColumns({name: value(name) for name in values})
+        .withColumn("r", (r - F.col("r0")).cast("int"))
+        .withColumn("c", (c - F.col("c0")).cast("int"))
         .select(*cells.columns, "aoi_id")
     )

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellsheaf import schemas
 from cellsheaf.functions import rings
@@ -17,6 +18,8 @@ def to_manifest(outputs: DataFrame, **columns: Column) -> DataFrame:
             col = columns[f.name]
         elif f.name in have:
             col = F.col(f.name)
+            if f.name == "bbox" and isinstance(outputs.schema["bbox"].dataType, T.StructType):
+                col = rings.bbox_list(col)
         else:
             col = F.lit(None)
         return col.cast(f.dataType).alias(f.name)

@@ -82,13 +82,18 @@ def weighted_mean(v: Column, w: Column) -> Column:
 
 
 def downsample_average(
-    cells: DataFrame, source: DataFrame, target: DataFrame, on: list[str] | None = None, by: list[str] | None = None
+    cells: DataFrame,
+    source: DataFrame,
+    target: DataFrame,
+    on: list[str] | None = None,
+    by: list[str] | None = None,
+    values: tuple[str, ...] = ("v",),
 ) -> DataFrame:
-    """Mean of the source area under each target pixel, for all bands at once."""
+    """Mean of the source area under each target pixel, for all bands (rows or value columns) at once."""
     on = on or ["raster_id"]
     by = by or [*on, "band"]
     parts = _scatter(cells, _sizes(source, target, on), on, _area_targets)
-    return parts.groupBy(*by, "r", "c").agg(weighted_mean(F.col("v"), F.col("_w")).alias("v"))
+    return parts.groupBy(*by, "r", "c").agg(*[weighted_mean(F.col(v), F.col("_w")).alias(v) for v in values])
 
 
 def upsample_bilinear(

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellsheaf.aoi import Aoi
+from cellsheaf.aoi import column as aoi_column
 from cellsheaf.functions import rings
 
 FINE_DEGREES = 1.0
@@ -76,9 +78,10 @@ def pair_by_bbox(left: DataFrame, right: DataFrame, fine: float = FINE_DEGREES)
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
+    """Id, box, rings and edges. A catalogue's own `bbox` struct is used as it is, so that box filters push down."""
+    box = F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))
     return df.select(
-        F.col(key).alias("id"), rings.bounds(F.col("rings")).alias("bbox"), F.col("rings"),
-        rings.edges(F.col("rings")).alias("edges"),
+        F.col(key).alias("id"), box.alias("bbox"), F.col("rings"), rings.edges(F.col("rings")).alias("edges")
     )
 
 
@@ -91,15 +94,8 @@ def _shapes_meet():
     return rings.edges_meet(near_l, near_r) | start_in_r | start_in_l
 
 
-def intersects(scenes: DataFrame, aois: DataFrame, fine: float = FINE_DEGREES) -> DataFrame:
-    """Pairs (scene_id, aoi_id) whose polygons share at least one point."""
-    pairs = pair_by_bbox(_prepared(scenes, "scene_id"), _prepared(aois, "aoi_id"), fine)
-    return pairs.where(_shapes_meet()).select(F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"))
-
-
-def contained_footprints(scenes: DataFrame, aois: DataFrame, fine: float = FINE_DEGREES) -> DataFrame:
-    """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped."""
-    pairs = pair_by_bbox(_prepared(scenes, "scene_id"), _prepared(aois, "aoi_id"), fine)
+def _footprint_inside():
+    """The right area covers the whole left footprint."""
     le, re = F.col("l_edges"), F.col("r_edges")
 
     def covered(x, y):
@@ -113,11 +109,39 @@ def contained_footprints(scenes: DataFrame, aois: DataFrame, fine: float = FINE_
 
     near = rings.edges_in_box(re, F.col("l_bbox"))
     inside = F.forall(le, lambda e: covered(e["x1"], e["y1"]) & covered(*middle(e)))
-    pierced = F.exists(
-        near, lambda e: strictly_in_footprint(e["x1"], e["y1"]) | strictly_in_footprint(*middle(e))
+    pierced = F.exists(near, lambda e: strictly_in_footprint(e["x1"], e["y1"]) | strictly_in_footprint(*middle(e)))
+    return inside & ~rings.edges_cross(le, near) & ~pierced
+
+
+def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float) -> DataFrame:
+    left = _prepared(scenes, "scene_id")
+    if isinstance(aois, DataFrame):
+        return pair_by_bbox(left, _prepared(aois, "aoi_id"), fine)
+    # A few given areas ride along as a constant: no join, and their boxes filter first.
+    west, south, east, north = (
+        f(v) for f, v in zip((min, min, max, max), zip(*[a.bounds for a in aois if a.rings]))
     )
-    contained = inside & ~rings.edges_cross(le, near) & ~pierced
-    return pairs.where(_shapes_meet()).select(
-        F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"), contained.alias("contained")
+    near = bbox_intersects(left, west, south, east, north)
+    area = near.withColumn("_a", F.explode(aoi_column(aois)))
+    area = area.select(
+        *[F.col(c).alias(f"l_{c}") for c in left.columns],
+        F.col("_a.aoi_id").alias("r_id"),
+        F.col("_a.rings").alias("r_rings"),
+        rings.bounds(F.col("_a.rings")).alias("r_bbox"),
+        rings.edges(F.col("_a.rings")).alias("r_edges"),
     )
+    return area.where(bbox_overlap(F.col("l_bbox"), F.col("r_bbox")))
 
+
+def intersects(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float = FINE_DEGREES) -> DataFrame:
+    """Pairs (scene_id, aoi_id) whose polygons share at least one point."""
+    pairs = _pairs(scenes, aois, fine).where(_shapes_meet())
+    return pairs.select(F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"))
+
+
+def contained_footprints(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float = FINE_DEGREES) -> DataFrame:
+    """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped."""
+    pairs = _pairs(scenes, aois, fine).where(_shapes_meet())
+    return pairs.select(
+        F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"), _footprint_inside().alias("contained")
+    )

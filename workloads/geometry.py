@@ -6,7 +6,7 @@ from cellsheaf import registry
 from cellsheaf.functions import projections, rings
 from cellsheaf.operators import manifest, spatial
 from workloads.case import case
-from workloads.fixtures import customer_areas, scenes, supplier_areas, view
+from workloads.fixtures import AREAS, customer_areas, scenes, supplier_areas, view
 
 
 @case(
@@ -224,3 +224,15 @@ def metric_square(spark, sf):
     epsg, square = projections.metric_square(F.col("b"), registry.PATCH_METRES)
     out = b.select("aoi_id", epsg.alias("epsg"), square.alias("q"))
     return out.select("aoi_id", "epsg", *[F.round(F.col(f"q.{s}"), 3).alias(s) for s in ("west", "south", "east", "north")])
+
+
+@case(
+    "g6_intersects_given_areas",
+    f"""
+WITH meet AS (SELECT DISTINCT scene_id, aoi_id FROM {{scene_edge}} a JOIN {{area_edge}} b
+   ON {_BOXES} WHERE {_D12[0]} * {_D12[1]} <= 0e0 AND {_D34[0]} * {_D34[1]} <= 0e0),
+s_in_a AS (SELECT scene_id, aoi_id FROM {{scene_pt}} p CROSS JOIN {{area_edge}} e WHERE p.seq = 0 GROUP BY scene_id, aoi_id HAVING {_ODD})
+SELECT * FROM meet UNION SELECT * FROM s_in_a""",
+)
+def intersects_given_areas(spark, sf):
+    return spatial.intersects(scenes(spark, sf), AREAS)
