@@ -134,10 +134,12 @@ def crossing(e, y: Column) -> Column:
 
 def point_inside(x: Column, y: Column, edge_array: Column) -> Column:
     """Half-open even-odd rule over all edges; holes and parts need no special case."""
-    hits = F.filter(
-        edge_array, lambda e: ((e["y1"] > y) != (e["y2"] > y)) & F.coalesce(x < crossing(e, y), F.lit(False))
+    odd = F.aggregate(
+        F.filter(edge_array, lambda e: (e["y1"] > y) != (e["y2"] > y)),
+        F.lit(False),
+        lambda acc, e: acc != F.coalesce(x < crossing(e, y), F.lit(False)),
     )
-    return F.size(hits) % 2 == 1
+    return odd
 
 
 def _turn(ax, ay, bx, by, cx, cy):

@@ -7,9 +7,10 @@ from cellsheaf.aoi import Aoi
 from cellsheaf.aoi import column as aoi_column
 from cellsheaf.functions import rings
 
-FINE_DEGREES = 1.0
-COARSE_DEGREES = 32.0
-FINE_CELLS = 16
+# Cell sizes in degrees. A box belongs to the first size at which it covers few cells; the last
+# size takes the rest, since the globe has only 18 cells of it.
+LEVELS = (1.0, 8.0, 64.0)
+FEW_CELLS = 16
 SUB_KEYS = 16
 
 
@@ -38,42 +39,44 @@ def _cells(bbox, size: float):
     )
 
 
-def _keyed(df: DataFrame, side: str, fine: float) -> DataFrame:
+def _keyed(df: DataFrame, side: str) -> DataFrame:
     b = F.col("bbox")
-    across = F.floor(b["maxx"] / fine) - F.floor(b["minx"] / fine) + 1
-    down = F.floor(b["maxy"] / fine) - F.floor(b["miny"] / fine) + 1
-    small = across * down <= FINE_CELLS
-    keys = F.concat(F.when(small, _cells(b, fine)).otherwise(F.array()), _cells(b, COARSE_DEGREES))
-    out = df.withColumn("_small", small).withColumn("_key", F.explode(keys))
-    out = out.select(
-        *[F.col(c).alias(f"{side}_{c}") for c in df.columns], F.col("_small").alias(f"{side}_small"), "_key.*"
-    )
-    return out
+
+    def count(size):
+        across = F.floor(b["maxx"] / size) - F.floor(b["minx"] / size) + 1
+        return across * (F.floor(b["maxy"] / size) - F.floor(b["miny"] / size) + 1)
+
+    own = F.lit(LEVELS[-1])
+    for size in reversed(LEVELS[:-1]):
+        own = F.when(count(size) <= FEW_CELLS, F.lit(size)).otherwise(own)
+    keys = F.concat(*[F.when(F.col("_own") <= size, _cells(b, size)).otherwise(F.array()) for size in LEVELS])
+    out = df.withColumn("_own", own).withColumn("_key", F.explode(keys))
+    return out.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns], F.col("_own").alias(f"{side}_own"), "_key.*")
 
 
-def pair_by_bbox(left: DataFrame, right: DataFrame, fine: float = FINE_DEGREES) -> DataFrame:
+def pair_by_bbox(left: DataFrame, right: DataFrame) -> DataFrame:
     """All pairs with overlapping boxes; every input needs `id` and a lon/lat `bbox`.
 
-    Both sides are keyed by the grid cells they cover, so the pairing is an equi-join.
-    A pair is kept only in the cell that holds the lower left corner of its overlap,
-    which makes a distinct needless. Boxes over more than FINE_CELLS fine cells are paired
-    on a coarse grid instead, where the globe has under 100 cells; small boxes are keyed
-    there too, but only to meet the large ones. Each cell is cut into SUB_KEYS sub-keys
-    by the left id, so a crowded cell is spread over tasks.
+    Both sides are keyed by the grid cells they cover, at the level of their size and at all
+    coarser ones, so the pairing is an equi-join. A pair meets at the coarser of its two
+    levels, in the one cell that holds the lower left corner of its overlap, which makes a
+    distinct needless. Each cell is cut into SUB_KEYS sub-keys by the left id, so a crowded
+    cell is spread over tasks. The left rows are spread by id before they multiply: files
+    hold neighbouring scenes together, and when Spark broadcasts the right side nothing else
+    would even out the pairs they make.
     """
-    a = _keyed(left, "l", fine).withColumn("_sub", F.pmod(F.xxhash64("l_id"), F.lit(SUB_KEYS)))
-    b = _keyed(right, "r", fine).withColumn(
+    a = _keyed(left.repartition("id"), "l").withColumn("_sub", F.pmod(F.xxhash64("l_id"), F.lit(SUB_KEYS)))
+    b = _keyed(right, "r").withColumn(
         "_sub", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SUB_KEYS - 1).cast("long")))
     )
     lb, rb = F.col("l_bbox"), F.col("r_bbox")
-    both_small = F.col("l_small") & F.col("r_small")
     return (
         a.join(b, ["size", "cx", "cy", "_sub"])
-        .where((F.col("size") == fine) == both_small)
+        .where(F.col("size") == F.greatest("l_own", "r_own"))
         .where(bbox_overlap(lb, rb))
         .where(F.floor(F.greatest(lb["minx"], rb["minx"]) / F.col("size")) == F.col("cx"))
         .where(F.floor(F.greatest(lb["miny"], rb["miny"]) / F.col("size")) == F.col("cy"))
-        .drop("size", "cx", "cy", "_sub", "l_small", "r_small")
+        .drop("size", "cx", "cy", "_sub", "l_own", "r_own")
     )
 
 
@@ -85,18 +88,33 @@ def _prepared(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _with_near_edges(pairs: DataFrame) -> DataFrame:
+    """Add `near` (l, r): the edges that come near the other shape.
+
+    Exploding the single value keeps the exact tests behind it out of the join condition,
+    where they would run for every candidate and not just for overlapping boxes.
+    """
+    l_near = rings.edges_in_box(F.col("l_edges"), F.col("r_bbox"))
+    r_near = rings.edges_in_box(F.col("r_edges"), F.col("l_bbox"))
+    return pairs.withColumn("near", F.explode(F.array(F.struct(l_near.alias("l"), r_near.alias("r")))))
+
+
 def _shapes_meet():
-    le, re = F.col("l_edges"), F.col("r_edges")
-    near_l = rings.edges_in_box(le, F.col("r_bbox"))
-    near_r = rings.edges_in_box(re, F.col("l_bbox"))
-    start_in_r = F.exists(rings.outer_starts(F.col("l_rings")), lambda p: rings.point_inside(p["x"], p["y"], re))
-    start_in_l = F.exists(rings.outer_starts(F.col("r_rings")), lambda p: rings.point_inside(p["x"], p["y"], le))
-    return rings.edges_meet(near_l, near_r) | start_in_r | start_in_l
+    """Exact test of a pair, cheapest and most often decisive part first."""
+
+    def starts_inside(ring_array, edge_array):
+        return F.exists(rings.outer_starts(ring_array), lambda p: rings.point_inside(p["x"], p["y"], edge_array))
+
+    return (
+        (starts_inside(F.col("l_rings"), F.col("r_edges")) & F.col("near").isNotNull())
+        | rings.edges_meet(F.col("near.l"), F.col("near.r"))
+        | starts_inside(F.col("r_rings"), F.col("l_edges"))
+    )
 
 
 def _footprint_inside():
     """The right area covers the whole left footprint."""
-    le, re = F.col("l_edges"), F.col("r_edges")
+    le, re, near = F.col("l_edges"), F.col("r_edges"), F.col("near.r")
 
     def covered(x, y):
         return rings.point_inside(x, y, re) | rings.point_on_edge(x, y, re)
@@ -107,16 +125,15 @@ def _footprint_inside():
     def middle(e):
         return (e["x1"] + e["x2"]) / F.lit(2.0), (e["y1"] + e["y2"]) / F.lit(2.0)
 
-    near = rings.edges_in_box(re, F.col("l_bbox"))
     inside = F.forall(le, lambda e: covered(e["x1"], e["y1"]) & covered(*middle(e)))
     pierced = F.exists(near, lambda e: strictly_in_footprint(e["x1"], e["y1"]) | strictly_in_footprint(*middle(e)))
     return inside & ~rings.edges_cross(le, near) & ~pierced
 
 
-def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float) -> DataFrame:
+def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
     left = _prepared(scenes, "scene_id")
     if isinstance(aois, DataFrame):
-        return pair_by_bbox(left, _prepared(aois, "aoi_id"), fine)
+        return pair_by_bbox(left, _prepared(aois, "aoi_id"))
     # A few given areas ride along as a constant: no join, and their boxes filter first.
     west, south, east, north = (
         f(v) for f, v in zip((min, min, max, max), zip(*[a.bounds for a in aois if a.rings]))
@@ -133,15 +150,15 @@ def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float) -> Dat
     return area.where(bbox_overlap(F.col("l_bbox"), F.col("r_bbox")))
 
 
-def intersects(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float = FINE_DEGREES) -> DataFrame:
+def intersects(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
     """Pairs (scene_id, aoi_id) whose polygons share at least one point."""
-    pairs = _pairs(scenes, aois, fine).where(_shapes_meet())
+    pairs = _with_near_edges(_pairs(scenes, aois)).where(_shapes_meet())
     return pairs.select(F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"))
 
 
-def contained_footprints(scenes: DataFrame, aois: "DataFrame | list[Aoi]", fine: float = FINE_DEGREES) -> DataFrame:
+def contained_footprints(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
     """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped."""
-    pairs = _pairs(scenes, aois, fine).where(_shapes_meet())
+    pairs = _with_near_edges(_pairs(scenes, aois)).where(_shapes_meet())
     return pairs.select(
         F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"), _footprint_inside().alias("contained")
     )
