@@ -138,88 +138,89 @@ def _edge_rows(areas: DataFrame) -> DataFrame:
     return e.withColumn("r", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
 
 
-def _centre_spans(edge_rows: DataFrame, keys: list[str]) -> DataFrame:
+SPANS = "array<struct<c_from:bigint,c_to:bigint>>"
+
+
+def _span(first: Column, last: Column) -> Column:
+    return F.struct(first.cast("long").alias("c_from"), last.cast("long").alias("c_to"))
+
+
+def _crossing_column() -> Column:
+    """First column whose centre lies right of where the edge crosses the row; NULL if it does not."""
     y = centre_y(F.col("r"))
     e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
-    hits = edge_rows.where((F.col("y1") > y) != (F.col("y2") > y))
-    hits = hits.withColumn("_k", _first_column(rings.crossing(e, y), centre_x))
-    # One list holds the crossings of one area's edges with one row; the area arrives as one value.
-    rows = hits.groupBy(*keys, "width").agg(F.sort_array(F.collect_list("_k")).alias("_ks"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), (F.size("_ks") / 2).cast("int") - 1),
-        lambda i: F.struct(F.get("_ks", i * 2).alias("c_from"), (F.get("_ks", i * 2 + 1) - 1).alias("c_to")),
-    )
-    return rows.select(*keys, "width", F.explode(pairs).alias("_s")).select(*keys, "width", "_s.*")
+    return F.when((F.col("y1") > y) != (F.col("y2") > y), _first_column(rings.crossing(e, y), centre_x))
 
 
-def _touched_spans(edge_rows: DataFrame, keys: list[str]) -> DataFrame:
+def _touched_span() -> Column:
+    """Columns whose closed squares in this row the edge meets; NULL if it misses the row."""
     band_lo, band_hi = _row_band(F.col("r"))
     x1, y1, x2, y2 = (F.col(k) for k in ("x1", "y1", "x2", "y2"))
     lo, hi = F.greatest(band_lo, F.least(y1, y2)), F.least(band_hi, F.greatest(y1, y2))
     xl, xr = _span_in_band(y1, y2, x1, x2, lo, hi)
-    spans = edge_rows.where(lo <= hi).withColumns({"_xl": xl, "_xr": xr})
-
-    def right_side(k):
-        return F.col("x0") + (k + F.lit(1)) * F.col("dx")
 
     def left_side(k):
         return F.col("x0") + k * F.col("dx")
 
-    first = _first_column(F.col("_xl"), right_side)
-    k = F.floor((F.col("_xr") - F.col("x0")) / F.col("dx"))
-    last = (
-        F.when(left_side(k + 1) <= F.col("_xr"), k + 1).when(left_side(k) <= F.col("_xr"), k).otherwise(k - 1)
-    )
-    return spans.select(*keys, "width", first.alias("c_from"), last.alias("c_to"))
+    first = _first_column(xl, lambda k: F.col("x0") + (k + F.lit(1)) * F.col("dx"))
+    k = F.floor((xr - F.col("x0")) / F.col("dx"))
+    last = F.when(left_side(k + 1) <= xr, k + 1).when(left_side(k) <= xr, k).otherwise(k - 1)
+    return F.when(lo <= hi, _span(first, last))
 
 
-def _merged(spans: DataFrame, keys: list[str]) -> DataFrame:
-    """Join overlapping or adjacent spans of one area in one row, so that no pixel comes twice."""
-    rows = spans.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("c_from", "c_to"))).alias("_s"))
-    reach = F.aggregate(
-        "_s",
-        F.expr("cast(array() as array<struct<c_from:bigint,c_to:bigint>>)"),
+def _merged(spans: Column) -> Column:
+    """Join overlapping or adjacent spans, so that no pixel comes twice."""
+    last = lambda acc: F.try_element_at(acc, F.lit(-1))
+    return F.aggregate(
+        F.sort_array(spans),
+        F.expr(f"cast(array() as {SPANS})"),
         lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["c_from"] <= F.try_element_at(acc, F.lit(-1))["c_to"] + 1),
+            (F.size(acc) > 0) & (s["c_from"] <= last(acc)["c_to"] + 1),
             F.concat(
                 F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.try_element_at(acc, F.lit(-1))["c_from"].alias("c_from"),
-                        F.greatest(F.try_element_at(acc, F.lit(-1))["c_to"], s["c_to"]).alias("c_to"),
-                    )
-                ),
+                F.array(_span(last(acc)["c_from"], F.greatest(last(acc)["c_to"], s["c_to"]))),
             ),
         ).otherwise(F.concat(acc, F.array(s))),
     )
-    return rows.select(*keys, F.explode(reach).alias("_m")).select(*keys, "_m.*")
 
 
 def covered_spans(areas: DataFrame, rule: str) -> DataFrame:
-    """Column spans of each (aoi_id, raster_id, r) that an area covers.
+    """Column spans of each (aoi_id, raster_id, r) that an area covers, in one pass over edges and rows.
 
-    `areas` has aoi_id, raster_id, edges and the affine columns of the raster.
+    `areas` has aoi_id, raster_id, edges and the affine columns of the raster. One list holds
+    what one area's edges do in one row; the area itself arrives as one value.
     """
     keys = ["aoi_id", "raster_id", "r"]
-    near = _edge_rows(areas)
-    spans = _centre_spans(near, keys)
-    if rule == "touched":
-        spans = spans.unionByName(_touched_spans(near, keys))
-    spans = (
-        spans.withColumn("c_from", F.greatest("c_from", F.lit(0).cast("long")))
-        .withColumn("c_to", F.least("c_to", (F.col("width") - 1).cast("long")))
-        .where("c_from <= c_to")
-        .drop("width")
+    touched = _touched_span() if rule == "touched" else F.lit(None).cast("struct<c_from:bigint,c_to:bigint>")
+    near = _edge_rows(areas).select(*keys, "width", _crossing_column().alias("_k"), touched.alias("_t"))
+    rows = (
+        near.where("_k is not null or _t is not null")
+        .groupBy(*keys, "width")
+        .agg(F.sort_array(F.collect_list("_k")).alias("_ks"), F.collect_list("_t").alias("_ts"))
+    )
+    pairs = F.transform(
+        F.when(F.size("_ks") > 0, F.sequence(F.lit(0), (F.size("_ks") / 2).cast("int") - 1)).otherwise(
+            F.array().cast("array<int>")
+        ),
+        lambda i: _span(F.get("_ks", i * 2), F.get("_ks", i * 2 + 1) - 1),
+    )
+    inside = F.filter(
+        F.transform(
+            F.concat(pairs, F.col("_ts")),
+            lambda s: _span(F.greatest(s["c_from"], F.lit(0)), F.least(s["c_to"], F.col("width") - 1)),
+        ),
+        lambda s: s["c_from"] <= s["c_to"],
     )
-    return _merged(spans, keys) if rule == "touched" else spans
+    spans = _merged(inside) if rule == "touched" else inside
+    return rows.select(*keys, F.explode(spans).alias("_s")).select(*keys, "_s.*")
 
 
-def areas_on_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame") -> DataFrame:
+def areas_on_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame", lonlat: bool = False) -> DataFrame:
     """Rasters paired with the areas they overlap, with edges in raster coordinates and pixel window.
 
     A list is placed on every grid row as a constant. A table that names its rasters
     (column raster_id, as scene matching yields it) joins on that. Both are projected to the
-    CRS of the grid (`epsg`, NULL meaning 4326). A table without raster_id is paired by
+    CRS of the grid (`epsg`, NULL meaning 4326) unless all grids are known to be `lonlat`. A table without raster_id is paired by
     boxes, which needs grids in longitude and latitude.
     """
     epsg = F.coalesce("epsg", F.lit(4326)) if "epsg" in grids.columns else F.lit(4326)
@@ -245,10 +246,10 @@ def areas_on_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame") -> DataFrame
             F.col("r_id").alias("aoi_id"),
             F.col("r_rings").alias("rings"),
         )
-    placed = F.when(F.col("epsg") == 4326, F.col("rings")).otherwise(
-        projections.project_rings(F.col("rings"), F.col("epsg"))
-    )
-    p = p.withColumn("rings", placed).withColumn("bbox", rings.bounds(F.col("rings")))
+    if not lonlat:
+        projected = projections.project_rings(F.col("rings"), F.col("epsg"))
+        p = p.withColumn("rings", F.when(F.col("epsg") == 4326, F.col("rings")).otherwise(projected))
+    p = p.withColumn("bbox", rings.bounds(F.col("rings")))
     b = F.col("bbox")
     return p.where(bbox_overlap(b, frame)).select(
         "raster_id",
@@ -318,12 +319,12 @@ def clip(
     """
     if _few(aois, rule, lonlat):
         return _inline_marks(cells, grids, aois, rule).where("inside").select(*cells.columns, "aoi_id")
-    return _join_spans(cells, areas_on_grids(grids, aois), rule)
+    return _join_spans(cells, areas_on_grids(grids, aois, lonlat), rule)
 
 
-def crop_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame") -> DataFrame:
+def crop_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame", lonlat: bool = True) -> DataFrame:
     """Grid of each raster shrunk to the window of each area it overlaps."""
-    areas = areas_on_grids(grids, aois).where("c0 < c1 and r0 < r1")
+    areas = areas_on_grids(grids, aois, lonlat).where("c0 < c1 and r0 < r1")
     rest = grids.select("raster_id", *[c for c in grids.columns if c not in (*AFFINE, "raster_id", "aoi_id")])
     return areas.join(rest, "raster_id").select(
         "aoi_id",
@@ -356,7 +357,7 @@ def crop_window(
     if _few(aois, rule, lonlat):
         marks = _inline_marks(cells, grids, aois, rule)
     else:
-        marks = _span_marks(cells, areas_on_grids(grids, aois), rule)
+        marks = _span_marks(cells, areas_on_grids(grids, aois, lonlat), rule)
 
     def value(name):
         if outside is None:

@@ -49,7 +49,7 @@ def pixels(
     if resolution is None:
         return out.drop("raster_id")
     shape = ["raster_id", "x0", "y0", "dx", "dy", "width", "height"]
-    final = clip.crop_grids(cut_grids, [aoi]).select(*shape).unionByName(master.where("contained").select(*shape))
+    final = clip.crop_grids(cut_grids, [aoi], lonlat).select(*shape).unionByName(master.where("contained").select(*shape))
     target = resample.target_grid(final, resolution)
     return resample.downsample_average(out, final, target, by=["raster_id", "scene_id"], values=tuple(keys)).drop("raster_id")
 
