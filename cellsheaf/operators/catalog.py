@@ -29,15 +29,18 @@ def select_assets(scenes: DataFrame, bands: list[str] | Column) -> DataFrame:
     Adds `picked` (array of band, asset_key, href in request order), `complete` and `error`,
     which names the first band the scene lacks.
     """
-    wanted = bands if isinstance(bands, Column) else F.array(*[F.lit(b) for b in bands])
-    picked = F.transform(
-        wanted,
-        lambda b: F.struct(
-            b.alias("band"),
-            names.asset_key(b).alias("asset_key"),
-            F.try_element_at("assets", names.asset_key(b))["href"].alias("href"),
-        ),
-    )
+
+    def one(band, key):
+        return F.struct(
+            band.alias("band"), key.alias("asset_key"), F.try_element_at("assets", key)["href"].alias("href")
+        )
+
+    if isinstance(bands, Column):
+        picked = F.transform(bands, lambda b: one(b, names.asset_key(b)))
+    else:
+        # Names are known here, so the keys are constants and the whole array is generated code.
+        keys = [registry.BAND_ASSETS.get(b.upper(), b.lower()) for b in bands]
+        picked = F.array(*[one(F.lit(b), F.lit(k)) for b, k in zip(bands, keys)])
     miss = F.get(F.filter("picked", lambda p: p["href"].isNull()), F.lit(0))
     text = F.concat(
         F.lit("Band "), miss["band"], F.lit(" (mapped to '"), miss["asset_key"], F.lit("') not found in STAC assets.")
