@@ -60,6 +60,10 @@ def test_month_count_and_inverted_frame(spark):
     )
     got = rows(slots.month_slots(df), "id", "year", "month")
     assert got == [(1, 2020, 11), (1, 2020, 12), (1, 2021, 1), (1, 2021, 2)]
+    stamps = slots.month_slots(df).where(instants.slot_stamp(F.col("year"), F.col("month")) == F.col("slot_start"))
+    assert stamps.count() == 4
+    years = slots.year_slots(df).where(instants.slot_stamp(F.col("year")) == F.col("slot_start"))
+    assert rows(years, "id", "year") == [(1, 2020), (1, 2021), (2, 2021)]
 
 
 def test_parse_iso_ignores_session_zone(spark):
