@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from workloads.case import CASES
 from workloads.check import compare
 
 SF = "/root/testdata/sf0.001"
@@ -11,7 +12,7 @@ SQL = entry.oracle_sql()
 MAY_BE_EMPTY = {"fetch_swath_grid", "fetch_scene_pixels_averaged"}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(CASES))
 def test_query(spark, name):
     fn = entry.queries()[name]
     if name in SQL:
