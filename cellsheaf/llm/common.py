@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,5 +61,12 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def apart(docs: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rename the columns of a table that clash with an operator's own; the function selects them again under their names."""
+    taken = {n.lower() for n in names}
+    held = [f"__own_{c}" if c.lower() in taken else c for c in docs.columns]
+    return docs.toDF(*held), lambda out: out.select([F.col(f"`{c}`") for c in held]).toDF(*docs.columns)
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

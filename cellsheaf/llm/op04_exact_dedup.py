@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsheaf.llm.common import BROADCAST_BYTES, join_groups, staged, text_of, without
+from cellsheaf.llm.common import BROADCAST_BYTES, apart, join_groups, staged, text_of, without
 
 #: Characters of a text that the second level hashes.
 PREFIX_CHARS = 256
@@ -64,7 +64,8 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their own columns."""
-    return mark_copies(docs).filter("kept").select([F.col(f"`{c}`") for c in docs.columns])
+    held, restore = apart(docs, OUTPUT)
+    return restore(mark_copies(held).filter("kept"))
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -75,7 +75,6 @@ def spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each word. Bytes are taken in blocks whose powers are kept; a word over a block's end is done alone."""
     out = np.empty(len(start), np.uint64)
-    value = _VALUE[data]
     sums = np.empty(min(_STEP, len(data)) + 1, np.uint64)
     for at in range(0, len(data), _STEP):
         to = min(at + _STEP, len(data))
@@ -83,19 +82,29 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         if i == j:
             continue
         sums[0] = 0
-        np.cumsum(value[at:to] * _UP[: to - at], out=sums[1 : to - at + 1])
+        np.cumsum(_VALUE[data[at:to]] * _UP[: to - at], out=sums[1 : to - at + 1])
         s, e = start[i:j] - at, np.minimum(end[i:j], to) - at
         out[i:j] = (sums[e] - sums[s]) * _DOWN[s]
         if end[j - 1] > to:
             k, total, power = start[j - 1], 0, 1
             for block in range(k, end[j - 1], _STEP):
-                v = value[block : min(block + _STEP, end[j - 1])]
+                v = _VALUE[data[block : min(block + _STEP, end[j - 1])]]
                 total += int((v * _UP[: len(v)]).sum(dtype=np.uint64)) * power
                 power = power * pow(_BASE, _STEP, 1 << 64) & ((1 << 64) - 1)
             out[j - 1] = total & ((1 << 64) - 1)
     return mixed(out)
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+    """Cut a batch into runs of rows with about so many bytes of text, or one longer row."""
+    size = raw(batch.column(column))[1]
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(size, size[at] + most, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a column, and where each row's words begin (one more entry than rows)."""
     data, rows = raw(column)
