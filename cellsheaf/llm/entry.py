@@ -2,10 +2,12 @@
 
 from cellsheaf.llm.op04_exact_dedup import ORACLE as OP4_SQL
 from cellsheaf.llm.op04_exact_dedup import op4_exact_dedup
+from cellsheaf.llm.op09_pack import op9_pack
 from cellsheaf.llm.op10_decontaminate import op10_decontaminate
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_pack": op9_pack,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLES = {"op4_exact_dedup": OP4_SQL}
