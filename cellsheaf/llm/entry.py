@@ -1,5 +1,7 @@
 """Queries of these operators and the SQL that gives the same rows, where there is one."""
 
+from cellsheaf.llm.op02_warc import ORACLE as OP2_SQL
+from cellsheaf.llm.op02_warc import op2_warc
 from cellsheaf.llm.op04_exact_dedup import ORACLE as OP4_SQL
 from cellsheaf.llm.op04_exact_dedup import op4_exact_dedup
 from cellsheaf.llm.op06_near_dedup import op6_near_dedup
@@ -8,10 +10,11 @@ from cellsheaf.llm.op09_pack import op9_pack
 from cellsheaf.llm.op10_decontaminate import op10_decontaminate
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_token_store": op7_token_store,
     "op9_pack": op9_pack,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES = {"op4_exact_dedup": OP4_SQL}
+ORACLES = {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL}

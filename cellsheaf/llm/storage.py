@@ -19,7 +19,7 @@ def committed(store: fs.FileSystem, path: str, attempt: str):
     own = f"{path}.{attempt}.tmp"
     store.create_dir(os.path.dirname(path), recursive=True)
     try:
-        with store.open_output_stream(own) as out:
+        with store.open_output_stream(own, compression=None) as out:
             yield out
         store.move(own, path)
     except BaseException:
