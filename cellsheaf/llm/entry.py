@@ -2,6 +2,7 @@
 
 from cellsheaf.llm.op02_warc import ORACLE as OP2_SQL
 from cellsheaf.llm.op02_warc import op2_warc
+from cellsheaf.llm.op03_toxicity import op3_toxicity
 from cellsheaf.llm.op04_exact_dedup import ORACLE as OP4_SQL
 from cellsheaf.llm.op04_exact_dedup import op4_exact_dedup
 from cellsheaf.llm.op06_near_dedup import op6_near_dedup
@@ -11,6 +12,7 @@ from cellsheaf.llm.op10_decontaminate import op10_decontaminate
 
 QUERIES = {
     "op2_warc": op2_warc,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_token_store": op7_token_store,
