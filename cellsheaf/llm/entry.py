@@ -1,5 +1,6 @@
 """Queries of these operators and the SQL that gives the same rows, where there is one."""
 
+import corpus_pipeline
 from cellsheaf.llm.op02_warc import ORACLE as OP2_SQL
 from cellsheaf.llm.op02_warc import op2_warc
 from cellsheaf.llm.op03_toxicity import op3_toxicity
@@ -18,5 +19,6 @@ QUERIES = {
     "op7_token_store": op7_token_store,
     "op9_pack": op9_pack,
     "op10_decontaminate": op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL}
