@@ -1,6 +1,7 @@
 """Queries of these operators and the SQL that gives the same rows, where there is one."""
 
 import corpus_pipeline
+from cellsheaf.llm.op01_quality import op1_quality
 from cellsheaf.llm.op02_warc import ORACLE as OP2_SQL
 from cellsheaf.llm.op02_warc import op2_warc
 from cellsheaf.llm.op03_toxicity import op3_toxicity
@@ -12,6 +13,7 @@ from cellsheaf.llm.op09_pack import op9_pack
 from cellsheaf.llm.op10_decontaminate import op10_decontaminate
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
