@@ -9,6 +9,7 @@ from cellsheaf.llm.op04_exact_dedup import ORACLE as OP4_SQL
 from cellsheaf.llm.op04_exact_dedup import op4_exact_dedup
 from cellsheaf.llm.op06_near_dedup import op6_near_dedup
 from cellsheaf.llm.op07_token_store import op7_token_store
+from cellsheaf.llm.op08_pii import op8_pii
 from cellsheaf.llm.op09_pack import op9_pack
 from cellsheaf.llm.op10_decontaminate import op10_decontaminate
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_token_store": op7_token_store,
+    "op8_pii": op8_pii,
     "op9_pack": op9_pack,
     "op10_decontaminate": op10_decontaminate,
     "pipeline": corpus_pipeline.run,
