@@ -7,6 +7,7 @@ from cellsheaf.llm.op02_warc import op2_warc
 from cellsheaf.llm.op03_toxicity import op3_toxicity
 from cellsheaf.llm.op04_exact_dedup import ORACLE as OP4_SQL
 from cellsheaf.llm.op04_exact_dedup import op4_exact_dedup
+from cellsheaf.llm.op05_licence import op5_licence
 from cellsheaf.llm.op06_near_dedup import op6_near_dedup
 from cellsheaf.llm.op07_token_store import op7_token_store
 from cellsheaf.llm.op08_pii import op8_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_licence": op5_licence,
     "op6_near_dedup": op6_near_dedup,
     "op7_token_store": op7_token_store,
     "op8_pii": op8_pii,
