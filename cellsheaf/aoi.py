@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsheaf import schemas
+from cellsheaf import registry, schemas
 
 
 @dataclass(frozen=True)
@@ -25,6 +25,16 @@ class Aoi:
         ys = [y for _, _, pts in self.rings for _, y in pts]
         return min(xs), min(ys), max(xs), max(ys)
 
+    @property
+    def error(self) -> str | None:
+        """Why every row of a request for this area fails; None for a polygon."""
+        return None if self.rings and self.geom_type in ("Polygon", "MultiPolygon") else registry.NOT_A_POLYGON
+
+    def box(self) -> "Aoi":
+        """The bounding box as an area of the same id."""
+        w, s, e, n = self.bounds
+        return Aoi(self.aoi_id, "Polygon", ((0, False, ((w, s), (e, s), (e, n), (w, n), (w, s))),))
+
 
 def from_geojson(aoi_id: str, geometry: dict) -> Aoi:
     """Read a GeoJSON geometry; a type other than (Multi)Polygon keeps no rings and fails G1's check."""

@@ -71,8 +71,16 @@ def valid_type(geom_type: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """Decimal text with at most six places and no trailing zeros."""
-    return F.regexp_replace(x.cast("decimal(18,6)").cast("string"), r"\.?0+$", "")
+    """Shortest decimal text that reads back as the same number, without exponent and without trailing zeros."""
+    text = x.cast("string")
+    # Casting writes an exponent below 1e-3 and from 1e7 on; such numbers are written out digit by digit.
+    sign, mantissa, power = (F.regexp_extract(text, r"^(-?)([0-9.]+)E(-?[0-9]+)$", i) for i in (1, 2, 3))
+    whole, part = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
+    n = power.cast("int")
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -n - 1), whole, part)
+    large = F.concat(sign, whole, F.rpad(F.substring(part, F.lit(1), n), n, F.lit("0")), F.lit("."), F.substring(part, n + 1, F.length(part)))
+    plain = F.when(F.contains(text, F.lit("E")), F.when(n < 0, small).otherwise(large)).otherwise(text)
+    return F.regexp_replace(plain, r"\.?0*$", "")
 
 
 def _nested_text(rings, open_, close, sep, point):

@@ -1,7 +1,7 @@
 """Clip and crop rasters to areas of interest.
 
 Rules: `centre` keeps a pixel whose centre lies inside (half-open even-odd), `touched`
-also keeps a pixel whose closed square any edge meets.
+also keeps a pixel whose closed square any edge meets. Cells off the frame of their raster are no pixels.
 
 Two plans give the same pixels. A list of a few simple areas becomes an unrolled column
 expression: a map-only job inside whole-stage code. Anything larger is turned into column
@@ -39,6 +39,11 @@ def _row_band(r: Column) -> tuple[Column, Column]:
     return F.least(a, b), F.greatest(a, b)
 
 
+def _column_band(c: Column) -> tuple[Column, Column]:
+    a, b = F.col("x0") + c * F.col("dx"), F.col("x0") + (c + F.lit(1)) * F.col("dx")
+    return F.least(a, b), F.greatest(a, b)
+
+
 # ---------------------------------------------------------------- few simple areas: expression plan
 
 
@@ -98,17 +103,18 @@ def _inline_marks(cells: DataFrame, grids: DataFrame, aois: list[Aoi], rule: str
         return F.struct(F.lit(a.aoi_id).alias("aoi_id"), *_window(*map(F.lit, a.bounds)), inside.alias("inside"))
 
     low, high = _row_band(r)
+    left, right = _column_band(c)
     # Known non-null inputs keep the generated code short.
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ("r", "c", *AFFINE)])
     placed = (
         with_grid(cells, grids, AFFINE)
-        .where(known)
+        .where(known & (r >= 0) & (r < F.col("height")) & (c >= 0) & (c < F.col("width")))
         .withColumns(
             {
                 "_x": centre_x(c),
                 "_y": centre_y(r),
-                "_left": F.col("x0") + c * F.col("dx"),
-                "_right": F.col("x0") + (c + F.lit(1)) * F.col("dx"),
+                "_left": left,
+                "_right": right,
                 "_low": low,
                 "_high": high,
             }
@@ -123,9 +129,14 @@ def _inline_marks(cells: DataFrame, grids: DataFrame, aois: list[Aoi], rule: str
 # ---------------------------------------------------------------- any number of areas: span plan
 
 
+def _eastward(j: Column) -> Column:
+    """Column number of the j-th column from the west, and the other way round. Spans are worked out from west to east."""
+    return F.when(F.col("dx") < 0, F.col("width") - 1 - j).otherwise(j)
+
+
 def _first_column(limit: Column, position) -> Column:
-    """Smallest column k with position(k) >= limit, robust to rounding of the first guess."""
-    k = F.ceil((limit - position(F.lit(0.0))) / F.col("dx"))
+    """Smallest k with position(k) >= limit, k counting from the west, robust to rounding of the first guess."""
+    k = F.ceil((limit - position(F.lit(0.0))) / F.abs("dx"))
     return F.when(position(k - 1) >= limit, k - 1).when(position(k) >= limit, k).otherwise(k + 1)
 
 
@@ -149,7 +160,7 @@ def _crossing_column() -> Column:
     """First column whose centre lies right of where the edge crosses the row; NULL if it does not."""
     y = centre_y(F.col("r"))
     e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
-    return F.when((F.col("y1") > y) != (F.col("y2") > y), _first_column(rings.crossing(e, y), centre_x))
+    return F.when((F.col("y1") > y) != (F.col("y2") > y), _first_column(rings.crossing(e, y), lambda j: centre_x(_eastward(j))))
 
 
 def _touched_span() -> Column:
@@ -159,12 +170,13 @@ def _touched_span() -> Column:
     lo, hi = F.greatest(band_lo, F.least(y1, y2)), F.least(band_hi, F.greatest(y1, y2))
     xl, xr = _span_in_band(y1, y2, x1, x2, lo, hi)
 
-    def left_side(k):
-        return F.col("x0") + k * F.col("dx")
+    def side(j, east: bool):
+        west, far = _column_band(_eastward(j))
+        return far if east else west
 
-    first = _first_column(xl, lambda k: F.col("x0") + (k + F.lit(1)) * F.col("dx"))
-    k = F.floor((xr - F.col("x0")) / F.col("dx"))
-    last = F.when(left_side(k + 1) <= xr, k + 1).when(left_side(k) <= xr, k).otherwise(k - 1)
+    first = _first_column(xl, lambda j: side(j, True))
+    k = F.floor((xr - side(F.lit(0), False)) / F.abs("dx"))
+    last = F.when(side(k + 1, False) <= xr, k + 1).when(side(k, False) <= xr, k).otherwise(k - 1)
     return F.when(lo <= hi, _span(first, last))
 
 
@@ -192,10 +204,10 @@ def covered_spans(areas: DataFrame, rule: str) -> DataFrame:
     """
     keys = ["aoi_id", "raster_id", "r"]
     touched = _touched_span() if rule == "touched" else F.lit(None).cast("struct<c_from:bigint,c_to:bigint>")
-    near = _edge_rows(areas).select(*keys, "width", _crossing_column().alias("_k"), touched.alias("_t"))
+    near = _edge_rows(areas).select(*keys, "width", "dx", _crossing_column().alias("_k"), touched.alias("_t"))
     rows = (
         near.where("_k is not null or _t is not null")
-        .groupBy(*keys, "width")
+        .groupBy(*keys, "width", "dx")
         .agg(F.sort_array(F.collect_list("_k")).alias("_ks"), F.collect_list("_t").alias("_ts"))
     )
     pairs = F.transform(
@@ -212,7 +224,9 @@ def covered_spans(areas: DataFrame, rule: str) -> DataFrame:
         lambda s: s["c_from"] <= s["c_to"],
     )
     spans = _merged(inside) if rule == "touched" else inside
-    return rows.select(*keys, F.explode(spans).alias("_s")).select(*keys, "_s.*")
+    ends = F.array(_eastward(F.col("_s.c_from")), _eastward(F.col("_s.c_to")))
+    out = rows.select(*keys, "width", "dx", F.explode(spans).alias("_s"))
+    return out.select(*keys, F.array_min(ends).alias("c_from"), F.array_max(ends).alias("c_to"))
 
 
 def areas_on_grids(grids: DataFrame, aois: "list[Aoi] | DataFrame", lonlat: bool = False) -> DataFrame:

@@ -21,12 +21,15 @@ def file_kind(head: Column) -> Column:
 def classify_files(inventory: DataFrame) -> DataFrame:
     """Add `kind` and, for an unexpected file, an error with its header and first 200 bytes (hex)."""
     kind = file_kind(F.col("head"))
-    text = F.concat(
-        F.lit("unexpected file type; header bytes: "),
-        F.hex(F.substring("head", 1, 4)),
-        F.lit("; first 200 bytes: "),
-        F.hex(F.substring("head", 1, 200)),
-    )
+    text = F.when(
+        F.col("head").isNotNull(),
+        F.concat(
+            F.lit("unexpected file type; header bytes: "),
+            F.hex(F.substring("head", 1, 4)),
+            F.lit("; first 200 bytes: "),
+            F.hex(F.substring("head", 1, 200)),
+        ),
+    ).otherwise("file is absent")
     return inventory.withColumn("kind", kind).withColumn("error", F.when(F.col("kind") == "unexpected", text))
 
 
@@ -61,7 +64,7 @@ def pick_raster(inventory: DataFrame, requests: DataFrame, crop_code: str | None
     """For each requested (key, year) the best file; without any, a row with an error.
 
     A year in the file name beats a year elsewhere in the path; a crop code match beats none;
-    then fewest path parts, `.tif` before `.tiff`, shortest name, and the path as last order.
+    then fewest path parts, the shortest name, `.tif` before `.tiff`, and the path as last order.
     Each file is keyed by every four-digit run its path holds, so years meet by equi-join,
     and the best file is a pre-aggregated minimum, not a sort of all candidates.
     """

@@ -1,10 +1,11 @@
 """The report table: one row per attempted output, failures included."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellsheaf import schemas
+from cellsheaf import registry, schemas
+from cellsheaf.aoi import Aoi
 from cellsheaf.functions import rings
 from cellsheaf.operators.skew import lookup
 
@@ -41,8 +42,18 @@ def with_aoi(rows: DataFrame, aois: DataFrame) -> DataFrame:
 def check_geometry(aois: DataFrame) -> DataFrame:
     """Add `ok` and the error text for areas that are no polygons."""
     ok = rings.valid_type(F.col("geom_type"))
-    text = F.lit("polygon must be a GeoJSON geometry of type Polygon or MultiPolygon in EPSG:4326")
-    return aois.withColumn("ok", ok).withColumn("error", F.when(~ok, text))
+    return aois.withColumn("ok", ok).withColumn("error", F.when(~ok, F.lit(registry.NOT_A_POLYGON)))
+
+
+def failed_request(spark: SparkSession, data_source: str, aoi: Aoi) -> DataFrame:
+    """The one row of a request whose area is no polygon."""
+    return to_manifest(
+        spark.range(1),
+        data_source=F.lit(data_source),
+        path=F.lit(""),
+        download_successful=F.lit(False),
+        error=F.lit(aoi.error),
+    )
 
 
 def pending(scenes: DataFrame, product_type: str, aoi_pairs: DataFrame, aois: DataFrame) -> DataFrame:
@@ -105,7 +116,7 @@ def absent_assets(assets: DataFrame, inventory: DataFrame, policy: str) -> DataF
     return (
         assets.join(held, "filename", how)
         .withColumn("download_successful", ok)
-        .withColumn("error", F.when(~ok, F.lit("File missing from download stream")))
+        .withColumn("error", F.when(~ok, F.lit(registry.FILE_MISSING)))
         .drop("_held")
     )
 

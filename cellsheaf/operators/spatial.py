@@ -1,17 +1,19 @@
 """Which scenes, rasters and areas of interest meet each other."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsheaf.aoi import Aoi
 from cellsheaf.aoi import column as aoi_column
+from cellsheaf.aoi import frame as aoi_frame
 from cellsheaf.functions import rings
 
 # Cell sizes in degrees. A box belongs to the first size at which it covers few cells; the last
 # size takes the rest, since the globe has only 18 cells of it.
 LEVELS = (1.0, 8.0, 64.0)
 FEW_CELLS = 16
-SUB_KEYS = 16
 
 
 def bbox_overlap(a, b):
@@ -39,45 +41,79 @@ def _cells(bbox, size: float):
     )
 
 
-def _keyed(df: DataFrame, side: str) -> DataFrame:
-    b = F.col("bbox")
+def ordered(bbox):
+    """Whether a box has its lower left corner below and left of the upper right one; one across the antimeridian has not."""
+    return F.coalesce((bbox["minx"] <= bbox["maxx"]) & (bbox["miny"] <= bbox["maxy"]), F.lit(False))
+
+
+def rejected(df: DataFrame, key: str) -> DataFrame:
+    """Rows (key, error) whose box is not `ordered`; pairing leaves them out, so a request reports them from here."""
+    box = F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))
+    text = F.lit("bounding box is absent, inverted or across the antimeridian")
+    return df.where(~ordered(box)).select(key, text.alias("error"))
+
 
+def _level(bbox):
     def count(size):
-        across = F.floor(b["maxx"] / size) - F.floor(b["minx"] / size) + 1
-        return across * (F.floor(b["maxy"] / size) - F.floor(b["miny"] / size) + 1)
+        across = F.floor(bbox["maxx"] / size) - F.floor(bbox["minx"] / size) + 1
+        return across * (F.floor(bbox["maxy"] / size) - F.floor(bbox["miny"] / size) + 1)
 
     own = F.lit(LEVELS[-1])
     for size in reversed(LEVELS[:-1]):
         own = F.when(count(size) <= FEW_CELLS, F.lit(size)).otherwise(own)
-    keys = F.concat(*[F.when(F.col("_own") <= size, _cells(b, size)).otherwise(F.array()) for size in LEVELS])
-    out = df.withColumn("_own", own).withColumn("_key", F.explode(keys))
-    return out.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns], F.col("_own").alias(f"{side}_own"), "_key.*")
+    return own
 
 
-def pair_by_bbox(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All pairs with overlapping boxes; every input needs `id` and a lon/lat `bbox`.
-
-    Both sides are keyed by the grid cells they cover, at the level of their size and at all
-    coarser ones, so the pairing is an equi-join. A pair meets at the coarser of its two
-    levels, in the one cell that holds the lower left corner of its overlap, which makes a
-    distinct needless. Each cell is cut into SUB_KEYS sub-keys by the left id, so a crowded
-    cell is spread over tasks. The left rows are spread by id before they multiply: files
-    hold neighbouring scenes together, and when Spark broadcasts the right side nothing else
-    would even out the pairs they make.
+def _keyed(boxes: DataFrame, side: str, finest: Callable, coarsest: Callable) -> DataFrame:
+    """Rows of (id, bbox) for each cell of the levels from finest to coarsest, both given the box's own level."""
+    keys = [
+        F.when((finest(F.col("_own"), size)) & (coarsest(F.col("_own"), size)), _cells(F.col("bbox"), size)).otherwise(F.array())
+        for size in LEVELS
+    ]
+    out = boxes.withColumn("_own", _level(F.col("bbox"))).withColumn("_key", F.explode(F.concat(*keys)))
+    return out.select(F.col("id").alias(f"{side}_id"), F.col("bbox").alias(f"{side}_bbox"), "_key.*")
+
+
+def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(l_id, l_bbox, r_id, r_bbox, size, cx, cy): boxes that lie in one cell of the coarser of their two levels.
+
+    Two equi-joins: left boxes at their own level meet right ones of that or a finer level, and right boxes at
+    their own level meet left ones of a finer level. So no pair meets at a level that is neither's.
     """
-    a = _keyed(left.repartition("id"), "l").withColumn("_sub", F.pmod(F.xxhash64("l_id"), F.lit(SUB_KEYS)))
-    b = _keyed(right, "r").withColumn(
-        "_sub", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SUB_KEYS - 1).cast("long")))
+    own = lambda level, size: level == size
+    on = ["size", "cx", "cy"]
+    l, r = (df.select("id", "bbox").where(ordered(F.col("bbox"))) for df in (left, right))
+    # Spark does not count the cells when it estimates a side, so it is told to shuffle and sort.
+    at_left = _keyed(l, "l", own, own).join(
+        _keyed(r, "r", lambda level, size: level <= size, lambda level, size: F.lit(True)).hint("merge"), on
     )
+    at_right = _keyed(l, "l", lambda level, size: level < size, lambda level, size: F.lit(True)).join(
+        _keyed(r, "r", own, own).hint("merge"), on
+    )
+    return at_left.unionByName(at_right)
+
+
+def pair_by_bbox(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All pairs with overlapping boxes; every input needs a unique `id` and a lon/lat `bbox`.
+
+    A pair is kept in the one cell that holds the lower left corner of its overlap, which makes a
+    distinct needless. Only ids and boxes go through the pairing; the other columns are
+    attached to the pairs that are left. Crowded cells and ids are split by AQE. A box
+    that is not `ordered` meets nothing here: callers report it.
+    """
     lb, rb = F.col("l_bbox"), F.col("r_bbox")
-    return (
-        a.join(b, ["size", "cx", "cy", "_sub"])
-        .where(F.col("size") == F.greatest("l_own", "r_own"))
+    met = (
+        candidates(left, right)
         .where(bbox_overlap(lb, rb))
         .where(F.floor(F.greatest(lb["minx"], rb["minx"]) / F.col("size")) == F.col("cx"))
         .where(F.floor(F.greatest(lb["miny"], rb["miny"]) / F.col("size")) == F.col("cy"))
-        .drop("size", "cx", "cy", "_sub", "l_own", "r_own")
+        .drop("size", "cx", "cy")
     )
+    for side, df in (("l", left), ("r", right)):
+        rest = [c for c in df.columns if c not in ("id", "bbox")]
+        if rest:
+            met = met.join(df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in rest]), f"{side}_id")
+    return met.select(*[f"l_{c}" for c in left.columns], *[f"r_{c}" for c in right.columns])
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
@@ -135,9 +171,10 @@ def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
     if isinstance(aois, DataFrame):
         return pair_by_bbox(left, _prepared(aois, "aoi_id"))
     # A few given areas ride along as a constant: no join, and their boxes filter first.
-    west, south, east, north = (
-        f(v) for f, v in zip((min, min, max, max), zip(*[a.bounds for a in aois if a.rings]))
-    )
+    aois = [a for a in aois if a.rings]
+    if not aois:
+        return _pairs(scenes, aoi_frame(scenes.sparkSession, []))
+    west, south, east, north = (f(v) for f, v in zip((min, min, max, max), zip(*[a.bounds for a in aois])))
     near = bbox_intersects(left, west, south, east, north)
     area = near.withColumn("_a", F.explode(aoi_column(aois)))
     area = area.select(

@@ -9,6 +9,7 @@ from cellsheaf import registry
 from cellsheaf.aoi import Aoi
 from cellsheaf.functions import instants, names, rings
 from cellsheaf.operators import catalog, clip, manifest, resample, spatial
+from cellsheaf.operators import cells as cell_ops
 from cellsheaf.operators.skew import lookup
 
 
@@ -32,13 +33,19 @@ def pixels(
     """One row per pixel and scene with a column per band (named by asset key).
 
     Bands are brought to the master shape and stacked in one shuffle. Scenes the area covers
-    wholly skip the crop; both branches read the same shuffle.
+    wholly skip the crop; both branches read the same shuffle. Where grids name a `nodata` value, pixels of that
+    value are no data before anything is averaged.
     """
     keys = [registry.BAND_ASSETS.get(b.upper(), b.lower()) for b in bands]
     ready = found.where("complete").select("scene_id", "contained")
     position = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("band")).cast("int")
     grids = band_grids.where(F.col("band").isin(*keys)).withColumn("pos", position).join(ready, "scene_id")
     mine = lookup(cells.where(F.col("band").isin(*keys)), ready.select("scene_id"), ["scene_id"], ["r", "c"])
+    if "nodata" in band_grids.columns:
+        raster = F.concat_ws("/", "scene_id", "band")
+        named = grids.select(raster.alias("raster_id"), "nodata")
+        mine = cell_ops.nodata_to_null(mine.withColumn("raster_id", raster), named).drop("raster_id")
+        grids = grids.drop("nodata")
     stacked = resample.align_and_stack(mine, grids.drop("contained"), keys)
     master = resample.master_grid(grids).withColumn("raster_id", F.col("scene_id"))
     flagged = lookup(stacked, ready, ["scene_id"], ["r", "c"]).withColumn("raster_id", F.col("scene_id"))
@@ -55,7 +62,9 @@ def pixels(
 
 
 def report(found: DataFrame, aoi: Aoi) -> DataFrame:
-    """One row per scene found; a scene that lacks a band is a failed row with the reason."""
+    """One row per scene found; a scene that lacks a band is a failed row with the reason, and so is an area that is no polygon."""
+    if aoi.error:
+        return manifest.failed_request(found.sparkSession, registry.SOURCES["sen2_aws"].data_source, aoi)
     tile = names.mgrs_tile(F.col("tile"), F.col("grid_code"))
     name = names.scene_name(tile, F.col("acq_start"), F.lit(aoi.aoi_id))
     return manifest.to_manifest(

@@ -14,6 +14,10 @@ class Source:
     variables: tuple[str, ...]
     basename: str
     clip_rule: str = "touched"
+    every_band: tuple[str, ...] = ()
+    max_cloud: float | None = None
+    scale: float | None = None
+    least_bytes: int = 0
 
 
 # Asset key of every band name a scene request may use.
@@ -39,9 +43,11 @@ BAND_ASSETS = {
 
 # Bands a datacube request gets when it names none.
 S2_BANDS = ("B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A", "B09", "B11", "B12")
-S3_BANDS = tuple(f"B{i:02d}" for i in range(1, 22)) + (
-    "FLAGS", "IWV", "CHL_OC4ME", "TSM_NN", "PAR", "KD490_M07", "A865", "T865", "CHL_NN", "ADG443_NN",
-)
+S3_BANDS = (
+    "B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B09", "B10", "B11", "B12", "B13", "B14", "B15", "B16",
+    "B17", "B18", "B19", "B20", "B21", "FLAGS", "IWV", "CHL_OC4ME", "TSM_NN", "PAR", "KD490_M07", "A865", "T865",
+    "CHL_NN", "ADG443_NN",
+)
 
 # Short name of every monthly reanalysis variable.
 SHORT_NAMES = {
@@ -78,9 +84,9 @@ SOURCES = {
         Source("esacci_landcover", "yearly", "ESA CCI", ("landcover",), "ESACCI_LC_{y}"),
         Source("ecira", "yearly", "Uni Goettingen", ("ecira",), "ECIRA_{y}"),
         Source("sen2_aws", "daily", "S2", ("VISUAL",), "S2_{tile}_{t}_{aoi}", "centre"),
-        Source("sen3_cdse", "daily", "Sen3_OLCI", ("OL_2_WFR",), "S3_{scene}_{var}"),
-        Source("sen2_openeo", "daily", "Sentinel2-openeo", S2_BANDS, "S2_L2A_{t}"),
-        Source("sen3_openeo", "daily", "Sentinel3Water-openeo", ("B08", "B04", "B03"), "S3_WATER_{t}"),
+        Source("sen3_cdse", "daily", "Sen3_OLCI", ("OL_2_WFR",), "S3_{scene}_{var}", least_bytes=MIN_ARCHIVE_BYTES),
+        Source("sen2_openeo", "daily", "Sentinel2-openeo", S2_BANDS, "S2_L2A_{t}", every_band=S2_BANDS, max_cloud=MAX_CLOUD, scale=REFLECTANCE_SCALE),
+        Source("sen3_openeo", "daily", "Sentinel3Water-openeo", ("B08", "B04", "B03"), "S3_WATER_{t}", every_band=S3_BANDS),
     )
 }
 
@@ -92,3 +98,8 @@ REQUEST_TEMPLATES = {
     "esacci_landcover": "ESACCI-LC-L4-LCCS-Map-300m-P1Y-{y}-v2.0.7.tif",
     "ecira": "Total_IR.zip",
 }
+
+# Texts of failed rows.
+NOT_A_POLYGON = "polygon must be a GeoJSON geometry of type Polygon or MultiPolygon in EPSG:4326"
+FILE_MISSING = "File missing from download stream"
+FILE_INVALID = "Corrupted or unreadable GeoTIFF"

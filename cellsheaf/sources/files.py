@@ -1,5 +1,7 @@
 """File inventories."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,24 @@ def list_rasters(spark: SparkSession, root: str, extensions: tuple[str, ...] = (
     return list_files(spark, root, "*.{" + ",".join(extensions) + "}")
 
 
+def has_files(spark: SparkSession, root: str) -> bool:
+    """Whether a folder exists and holds any entry, asked of Spark's own file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(path) and len(system.listStatus(path)) > 0
+
+
 def with_head(inventory: DataFrame, n: int = HEAD_BYTES) -> DataFrame:
-    """Add the first n bytes of each file. Tasks read only those bytes, not the file."""
+    """Add the first n bytes of each file; NULL for a file that is gone by now.
+
+    Files whose scheme the Python side can open are read by the tasks, n bytes each. Those of any other scheme go
+    through Spark's own reader, which loads them whole one at a time in its tasks. Anything but an absent
+    file raises.
+    """
+    # file, hdfs and s3 are what pyarrow opens as they are written by Hadoop.
+    scheme = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*):/", 1)
+    plain = inventory.where(scheme.isin("", "file", "hdfs", "s3"))
+    other = inventory.where(~scheme.isin("", "file", "hdfs", "s3"))
 
     def heads(batches):
         import pandas as pd
@@ -34,16 +52,27 @@ def with_head(inventory: DataFrame, n: int = HEAD_BYTES) -> DataFrame:
         for pdf in batches:
             out = []
             for path in pdf["path"]:
+                # Folder names may hold spaces and percent signs, which are no part of a URI here.
+                scheme, authority, place = re.match(r"(?:([A-Za-z0-9+.-]+):)?(?://([^/]*))?(/.*)", path).groups()
+                if scheme in (None, "file"):
+                    system = fs.LocalFileSystem()
+                else:
+                    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+                    place = base.rstrip("/") + place
                 try:
-                    system, place = fs.FileSystem.from_uri(path)
-                    with system.open_input_stream(place) as f:
+                    with system.open_input_stream(place, compression=None) as f:
                         out.append(f.read(n))
-                except (OSError, ValueError):
+                except FileNotFoundError:
                     out.append(None)
             yield pdf.assign(head=pd.Series(out, index=pdf.index, dtype=object))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inventory.schema) + ", head binary"
-    return inventory.mapInPandas(heads, schema)
+    read = plain.mapInPandas(heads, schema)
+    roots = [r["root"] for r in other.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("root")).distinct().collect()]
+    if not roots:
+        return read
+    content = inventory.sparkSession.read.format("binaryFile").load(roots).select("path", F.substring("content", 1, n).alias("head"))
+    return read.unionByName(other.join(content, "path", "left"))
 
 
 def file_name(inventory: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 256
+#: Folders of an output. The area comes first: two areas share no output.
+KEYS = ("aoi_id", "source", "var", "slot")
 
 
 def read_cells(
@@ -29,16 +31,19 @@ def read_cells(
 
 def _laid_out(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of one output go to tasks by blocks of raster rows, so a huge output is many tasks' work."""
+    absent = [k for k in keys if k not in cells.columns]
+    if absent:
+        raise ValueError(f"cells have no column {', '.join(absent)}, which names their output")
     block = F.floor(F.col("r") / BLOCK_ROWS)
     return cells.repartition(*keys, block).sortWithinPartitions(*keys, "r", "c")
 
 
-def write_raster(cells: DataFrame, path: str, keys: tuple[str, ...] = ("source", "var", "slot")) -> None:
+def write_raster(cells: DataFrame, path: str, keys: tuple[str, ...] = KEYS) -> None:
     """One folder per output; files inside are sorted by row and column."""
     _laid_out(cells, list(keys)).write.partitionBy(*keys).option("compression", "zstd").parquet(path)
 
 
-def overwrite_slot(cells: DataFrame, path: str, keys: tuple[str, ...] = ("source", "var", "slot")) -> None:
+def overwrite_slot(cells: DataFrame, path: str, keys: tuple[str, ...] = KEYS) -> None:
     """Replace exactly the outputs that `cells` holds. The commit makes a half-written one invisible."""
     (
         _laid_out(cells, list(keys))

@@ -214,7 +214,7 @@ def test_regrid_ties_and_radius(spark):
 
 
 def test_overwrite_leaves_other_slots(spark, tmp_path):
-    df = raster(spark).selectExpr("'s' source", "'v' var", "concat('m', r % 2) slot", "r", "c", "v")
+    df = raster(spark).selectExpr("'A1' aoi_id", "'s' source", "'v' var", "concat('m', r % 2) slot", "r", "c", "v")
     path = str(tmp_path / "out")
     tables.write_raster(df, path)
     tables.overwrite_slot(df.where("slot = 'm1'").limit(1), path)
@@ -245,3 +245,48 @@ def test_selected_assets_report_first_missing(spark):
     df = spark.createDataFrame([("1", {"red": ("h",)})], "scene_id string, assets map<string,struct<href:string>>")
     r = catalog.select_assets(df, ["B4", "B3", "B2"]).first()
     assert not r["complete"] and "B3" in r["error"]
+
+
+def test_pairs_meet_at_the_coarser_of_their_levels_only(spark):
+    def boxes(n, size, step):
+        box = F.struct((F.col("id") * step - 100).alias("minx"), F.lit(10.0).alias("miny"), (F.col("id") * step - 100 + size).alias("maxx"), (F.lit(10.0) + size).alias("maxy"))
+        return spark.range(n).select("id", box.alias("bbox"))
+
+    left = boxes(200, 0.5, 0.9).unionByName(boxes(4, 30.0, 20.0).withColumn("id", F.col("id") + 1000))
+    right = boxes(150, 1.5, 1.1).unionByName(boxes(3, 60.0, 25.0).withColumn("id", F.col("id") + 1000))
+    level = lambda side: spatial._level(F.col(f"{side}_bbox"))
+    met = spatial.candidates(left, right)
+    assert met.where(F.col("size") != F.greatest(level("l"), level("r"))).count() == 0
+    l, r = ([(x["id"], x["bbox"]) for x in df.collect()] for df in (left, right))
+    want = sorted(
+        (i, j) for i, a in l for j, b in r
+        if a["minx"] <= b["maxx"] and a["maxx"] >= b["minx"] and a["miny"] <= b["maxy"] and a["maxy"] >= b["miny"]
+    )
+    assert rows(spatial.pair_by_bbox(left, right), "l_id", "r_id") == want
+    assert met.count() < 4 * len(want)
+
+
+def test_box_across_the_antimeridian_is_reported(spark):
+    box = F.struct(*[F.col(k) for k in ("minx", "miny", "maxx", "maxy")]).alias("bbox")
+    df = spark.createDataFrame([(1, 179.0, 0.0, -179.0, 1.0), (2, 1.0, 0.0, 2.0, 1.0)], "scene_id long, minx double, miny double, maxx double, maxy double").select("scene_id", box)
+    assert [r["scene_id"] for r in spatial.rejected(df, "scene_id").collect()] == [1]
+    one = df.withColumnRenamed("scene_id", "id")
+    assert rows(spatial.pair_by_bbox(one, one), "l_id", "r_id") == [(2, 2)]
+
+
+def test_lookup_never_broadcasts_what_it_multiplies(spark):
+    many, table = spark.range(1000).selectExpr("id % 3 AS k", "id AS r"), spark.range(3).selectExpr("id AS k", "id * 10 AS w")
+    large = skew.lookup(many, table, ["k"], ["r"], small=0)
+    assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+    assert rows(large, "k", "r", "w") == rows(skew.lookup(many, table, ["k"], ["r"]), "k", "r", "w")
+
+
+def test_coordinates_keep_all_their_digits(spark):
+    values = [-123.123456789, 1e-5, -2.5e-7, 15.0, 100.0, 12345678.9, 1.25e10, 0.1 + 0.2, 0.0]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(rings.number_text(F.col("x"))).collect()]
+    assert [float(t) for t in got] == values and not any("E" in t or t.endswith(".0") for t in got)
+
+
+def test_outputs_need_their_keys(spark, tmp_path):
+    with pytest.raises(ValueError, match="aoi_id"):
+        tables.write_raster(raster(spark), str(tmp_path / "out"))

@@ -48,9 +48,9 @@ def extent_struct(spark, sf):
     ).select("*", "c.*").drop("c")
 
 
-# Text of a coordinate: six decimals, then trailing zeros and a bare point cut.
+# Text of a coordinate: the shortest that reads back as the same number, a bare ".0" cut.
 def _num(x):
-    return f"regexp_replace(cast(cast({x} AS decimal(18,6)) AS string), '\\.?0+$', '')"
+    return f"regexp_replace(cast({x} AS string), '\\.0$', '')"
 
 
 _TEXT = """

@@ -1,7 +1,10 @@
 """Raster and cube queries."""
 
+import math
+
 from pyspark.sql import functions as F
 
+from cellsheaf import aoi as aoi_mod
 from cellsheaf import registry
 from cellsheaf.operators import cells as cell_ops
 from cellsheaf.operators import clip, resample
@@ -104,6 +107,70 @@ def clip_touched(spark, sf):
     return clip.clip(hi(spark, sf), meta_hi(spark, sf), areas("A4", "A5"), "touched").select("aoi_id", "r", "c", "v")
 
 
+_COS, _SIN = ([f(math.radians(d)) for d in range(361)] for f in (math.cos, math.sin))
+
+
+# Irregular outlines with few enough edges for the expression plan, and with more.
+def _outline(n):
+    turn = [(i * 7 % n) for i in range(n)]
+    pts = [(-119.013 + (3.1 + 0.37 * (k % 4)) * _COS[round(i * 360 / n)], 39.517 + (1.9 + 0.23 * (k % 3)) * _SIN[round(i * 360 / n)]) for i, k in enumerate(turn)]
+    pts = [(round(x, 6), round(y, 6)) for x, y in pts]
+    return aoi_mod.from_geojson(f"P{n}", {"type": "Polygon", "coordinates": [[*pts, pts[0]]]})
+
+
+_OUTLINED = [areas("A5")[0], _outline(13), _outline(27), _outline(29), _outline(40)]
+_OUTLINED_EDGES = ", ".join(f"('{a.aoi_id}', {', '.join(f'{v!r}e0' for v in e)})" for a in _OUTLINED for e in a.edges)
+
+
+def _many_rasters(spark, sf):
+    """The fine raster as it is, mirrored (dx < 0) and upside down (dy > 0), each with cells off its frame; and their grids."""
+    h = F.col("height")
+    meta = meta_hi(spark, sf)
+    kinds = F.explode(F.array(F.lit("plain"), F.lit("mirrored"), F.lit("flipped")))
+    x0, dx = F.when(F.col("k") == "mirrored", -114.0).otherwise(-124.0), F.when(F.col("k") == "mirrored", -0.08).otherwise(0.08)
+    y0, dy = F.when(F.col("k") == "flipped", 42.0 - h * 0.08).otherwise(42.0), F.when(F.col("k") == "flipped", 0.08).otherwise(-0.08)
+    grids = meta.withColumn("k", kinds).select(
+        F.col("k").alias("raster_id"), "epsg", x0.alias("x0"), y0.alias("y0"), dx.alias("dx"), dy.alias("dy"), "width", "height", "nodata"
+    )
+    cells = hi(spark, sf).join(F.broadcast(meta.select("height"))).withColumn("k", kinds)
+    c = F.when(F.col("k") == "mirrored", 124 - F.col("c")).otherwise(F.col("c"))
+    r = F.when(F.col("k") == "flipped", h - 1 - F.col("r")).otherwise(F.col("r"))
+    inside = cells.select(F.col("k").alias("raster_id"), r.alias("r"), c.alias("c"), "v")
+    off = inside.where("r = 2").select("raster_id", F.lit(-1).alias("r"), "c", "v").unionByName(inside.where("c = 3").select("raster_id", "r", F.lit(130).alias("c"), "v"))
+    return inside.unionByName(off), grids
+
+
+_MANY = f"""
+WITH e AS (SELECT * FROM (VALUES {_OUTLINED_EDGES}) AS t(aoi_id, x1, y1, x2, y2)),
+ctr AS (SELECT r, c, v, {_X} AS x, {_Y} AS y, -124e0 + c * 8e-2 AS xl, -124e0 + (c + 1) * 8e-2 AS xr, 42e0 + r * -8e-2 AS yh, 42e0 + (r + 1) * -8e-2 AS yl FROM {{fx_grid_hi}}),
+ctr_in AS (SELECT aoi_id, r, c, v FROM ctr JOIN e ON ((e.y1 > y) <> (e.y2 > y))
+   AND x < e.x1 + (y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) GROUP BY ALL HAVING count(*) % 2 = 1),
+near AS (SELECT aoi_id, r, c, v, xl, xr, e.*, greatest(yl, least(y1, y2)) AS lo, least(yh, greatest(y1, y2)) AS hi FROM ctr JOIN e ON yl <= greatest(y1, y2) AND yh >= least(y1, y2)),
+band AS (SELECT *, CASE WHEN y1 = y2 THEN x1 ELSE x1 + (lo - y1) * (x2 - x1) / (y2 - y1) END AS xa, CASE WHEN y1 = y2 THEN x2 ELSE x1 + (hi - y1) * (x2 - x1) / (y2 - y1) END AS xb FROM near),
+touch AS (SELECT aoi_id, r, c, v FROM ctr_in UNION SELECT aoi_id, r, c, v FROM band WHERE xl <= greatest(xa, xb) AND xr >= least(xa, xb)),
+k AS (SELECT * FROM (VALUES ('plain'), ('mirrored'), ('flipped')) AS t(raster_id))
+SELECT raster_id, aoi_id, cast(CASE raster_id WHEN 'flipped' THEN (SELECT height FROM {{fx_meta_hi}}) - 1 - r ELSE r END AS int) AS r,
+   cast(CASE raster_id WHEN 'mirrored' THEN 124 - c ELSE c END AS int) AS c, v FROM """
+
+
+def _clipped_both_ways(spark, sf, rule):
+    cells, grids = _many_rasters(spark, sf)
+    each = [clip.clip(cells, grids, [a], rule) for a in _OUTLINED[:2]]
+    rest = clip.clip(cells, grids, _OUTLINED[2:], rule)
+    out = each[0].unionByName(each[1]).unionByName(rest)
+    return out.select("raster_id", "aoi_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), "v")
+
+
+@case("r8_clip_centre_many_rasters", _MANY + "ctr_in CROSS JOIN k")
+def clip_centre_many_rasters(spark, sf):
+    return _clipped_both_ways(spark, sf, "centre")
+
+
+@case("r9_clip_touched_many_rasters", _MANY + "touch CROSS JOIN k")
+def clip_touched_many_rasters(spark, sf):
+    return _clipped_both_ways(spark, sf, "touched")
+
+
 def _area_table(spark):
     from cellsheaf.aoi import frame
 
@@ -345,34 +412,42 @@ def read_cells(spark, sf):
 
 def _outputs(spark, sf):
     slot = F.substring(F.col("t").cast("string"), 1, 7)
-    return view(spark, sf, "fx_grid_hi").select(F.lit("s2").alias("source"), F.col("band").alias("var"), slot.alias("slot"), "r", "c", "v")
+    two = F.explode(F.array(F.lit("A1"), F.lit("A2"))).alias("aoi_id")
+    out = view(spark, sf, "fx_grid_hi").select(two, F.lit("s2").alias("source"), F.col("band").alias("var"), slot.alias("slot"), "r", "c", "v")
+    return out.where("aoi_id = 'A1' OR c < 60")
+
+
+_TWO = "(SELECT a.aoi_id, g.* FROM {fx_grid_hi} g CROSS JOIN (VALUES ('A1'), ('A2')) AS a(aoi_id) WHERE a.aoi_id = 'A1' OR c < 60)"
+_WRITTEN = "r int, c int, v double, aoi_id string, source string, var string, slot string"
 
 
-@case("s6_write_raster", "SELECT 's2' AS source, band AS var, strftime(t, '%Y-%m') AS slot, r, c, v FROM {fx_grid_hi}")
+@case("s6_write_raster", "SELECT aoi_id, 's2' AS source, band AS var, strftime(t, '%Y-%m') AS slot, r, c, v FROM " + _TWO)
 def write_raster(spark, sf):
     path = shared_folder(spark)
     tables.write_raster(_outputs(spark, sf), path)
-    return spark.read.schema("r int, c int, v double, source string, var string, slot string").parquet(path)
+    return spark.read.schema(_WRITTEN).parquet(path)
 
 
 @case(
     "s8_overwrite_slot",
     """
-SELECT 's2' AS source, band AS var, strftime(t, '%Y-%m') AS slot, r, c, CASE WHEN year(t) = 1997 THEN v * 2e0 ELSE v END AS v
-FROM {fx_grid_hi} WHERE year(t) <> 1997 OR v > 0""",
+SELECT aoi_id, 's2' AS source, band AS var, strftime(t, '%Y-%m') AS slot, r, c, CASE WHEN year(t) = 1997 AND aoi_id = 'A2' THEN v * 2e0 ELSE v END AS v
+FROM """
+    + _TWO
+    + " WHERE year(t) <> 1997 OR v > 0 OR aoi_id = 'A1'",
 )
 def overwrite_slot(spark, sf):
     path = shared_folder(spark)
     out = _outputs(spark, sf)
     tables.write_raster(out, path)
-    again = out.where(F.startswith(F.col("slot"), F.lit("1997")) & (F.col("v") > 0)).withColumn("v", F.col("v") * 2.0)
+    again = out.where((F.col("aoi_id") == "A2") & F.startswith(F.col("slot"), F.lit("1997")) & (F.col("v") > 0)).withColumn("v", F.col("v") * 2.0)
     tables.overwrite_slot(again, path)
-    return spark.read.schema("r int, c int, v double, source string, var string, slot string").parquet(path)
+    return spark.read.schema(_WRITTEN).parquet(path)
 
 
 @case(
     "s5_list_rasters",
-    "SELECT DISTINCT concat('source=s2/var=', band, '/slot=', strftime(t, '%Y-%m')) AS folder, true AS filled FROM {fx_grid_hi}",
+    "SELECT DISTINCT concat('aoi_id=', aoi_id, '/source=s2/var=', band, '/slot=', strftime(t, '%Y-%m')) AS folder, true AS filled FROM " + _TWO,
 )
 def list_rasters(spark, sf):
     from cellsheaf.sources import files
@@ -380,7 +455,7 @@ def list_rasters(spark, sf):
     path = shared_folder(spark)
     tables.write_raster(_outputs(spark, sf), path)
     found = files.list_rasters(spark, path, ("parquet", "tif"))
-    folder = F.regexp_extract("path", r"(source=.*)/[^/]*$", 1)
+    folder = F.regexp_extract("path", r"(aoi_id=.*)/[^/]*$", 1)
     return found.groupBy(folder.alias("folder")).agg((F.min("length") > 0).alias("filled"))
 
 

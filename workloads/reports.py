@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cellsheaf.functions import names, rings
 from cellsheaf.operators import catalog, files, manifest, slots, spatial
 from cellsheaf.operators import cells as cell_ops
+from cellsheaf.sources import files as file_source
 from cellsheaf.sources import tables
 from cellsheaf.sources.scratch import shared_folder
 from workloads.case import case
@@ -51,6 +52,26 @@ def validate_outputs(spark, sf):
     return out.select("scene_id", "asset_key", "valid")
 
 
+@case(
+    "p3_validate_written_files",
+    """
+SELECT DISTINCT concat('aoi_id=A1/var=', band, '/slot=', strftime(t, '%Y-%m')) AS folder, true AS valid, 'unexpected' AS kind, '50415231' AS header FROM {fx_grid_hi}
+UNION ALL SELECT 'absent', false, NULL, NULL FROM {fx_meta_hi}""",
+)
+def validate_written_files(spark, sf):
+    """Real files: written, listed, their heads read by tasks, told apart and validated; one path that is not there."""
+    path = shared_folder(spark)
+    slot = F.date_format("t", "yyyy-MM")
+    out = view(spark, sf, "fx_grid_hi").select(F.lit("A1").alias("aoi_id"), F.col("band").alias("var"), slot.alias("slot"), "r", "c", "v")
+    tables.write_raster(out, path, ("aoi_id", "var", "slot"))
+    heads = file_source.with_head(file_source.list_files(spark, path, "*.parquet"))
+    told = files.classify_files(heads).withColumn("folder", F.regexp_extract("path", r"(aoi_id=.*)/[^/]*$", 1))
+    expected = told.select("folder", "path").unionByName(view(spark, sf, "fx_meta_hi").select(F.lit("absent").alias("folder"), F.lit("absent").alias("path")))
+    checked = files.validate_outputs(expected, heads).join(told.select("path", "kind", "error"), "path", "left")
+    header = F.regexp_extract("error", "header bytes: ([0-9A-F]*);", 1)
+    return checked.groupBy("folder").agg(F.bool_and("valid").alias("valid"), F.max("kind").alias("kind"), F.max(header).alias("header"))
+
+
 @case(
     "p4_cache_plan",
     f"""
@@ -100,13 +121,13 @@ def _flat(m):
 
 
 _BOX_TEXT = " || ',' || ".join(
-    f"regexp_replace(cast(cast({x} AS decimal(18,6)) AS string), '\\.?0+$', '')" for x in ("minx", "miny", "minx + 2e0", "miny + 2e0")
+    f"regexp_replace(cast({x} AS string), '\\.0$', '')" for x in ("minx", "miny", "minx + 2e0", "miny + 2e0")
 )
 _XY = [("minx", "miny"), ("minx + 18e-1", "miny + 2e-1"), ("minx + 2e0", "miny + 2e0"), ("minx + 2e-1", "miny + 18e-1"), ("minx", "miny")]
 _POLY = (
     "'{\"type\":\"Polygon\",\"coordinates\":[[' || "
     + " || ',' || ".join(
-        "'[' || " + " || ',' || ".join(f"regexp_replace(cast(cast({v} AS decimal(18,6)) AS string), '\\.?0+$', '')" for v in p) + " || ']'"
+        "'[' || " + " || ',' || ".join(f"regexp_replace(cast({v} AS string), '\\.0$', '')" for v in p) + " || ']'"
         for p in _XY
     )
     + " || ']]}'"

@@ -36,13 +36,16 @@ def year_slots(spark, sf):
 WITH s AS (SELECT scene_id, acq_start,
        CASE scene_id % 5 WHEN 0 THEN 'era5' WHEN 1 THEN 'ecira' WHEN 2 THEN 'sen2_aws' WHEN 3 THEN 'spei' ELSE 'sen3_openeo' END AS source FROM {fx_scene})
 SELECT scene_id, source, cast(CASE WHEN source IN ('era5','spei') THEN date_trunc('month', acq_start)
-       WHEN source = 'ecira' THEN date_trunc('year', acq_start) ELSE date_trunc('day', acq_start) END AS timestamp) AS slot FROM s""",
+       WHEN source = 'ecira' THEN date_trunc('year', acq_start) ELSE date_trunc('day', acq_start) END AS timestamp) AS slot,
+       cast(date_trunc('month', acq_start) AS timestamp) AS month_stamp, cast(date_trunc('year', acq_start) AS timestamp) AS year_stamp FROM s""",
 )
 def slot_of(spark, sf):
     names = ["era5", "ecira", "sen2_aws", "spei", "sen3_openeo"]
     source = F.get(F.array(*[F.lit(n) for n in names]), (F.col("scene_id") % 5).cast("int"))
     df = view(spark, sf, "fx_scene").select("scene_id", "acq_start", source.alias("source"))
-    return slots.with_slot(df, "source", "acq_start").select("scene_id", "source", "slot")
+    year, month = F.year("acq_start"), F.month("acq_start")
+    stamps = (instants.slot_stamp(year, month).alias("month_stamp"), instants.slot_stamp(year).alias("year_stamp"))
+    return slots.with_slot(df, "source", "acq_start").select("scene_id", "source", "slot", *stamps)
 
 
 @case(
