@@ -122,13 +122,19 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """entity, term and disclosure (GENERAL or more) of the pairs that at least SUPPORT distinct texts hold."""
-    total = docs.select(F.xxhash64("__text").alias("h")).groupBy("h").agg(F.lit(1)).count()
+    h = F.xxhash64("__text").alias("h")
+    copies = docs.select(h).groupBy("h").agg(F.count("*").alias("n"))
+    total = copies.count()
     entities = found.groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     pairs = staged(found.select("entity", F.explode("near").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT))
     terms = staged(pairs.select("term").distinct())
-    held = docs.select(F.xxhash64("__text").alias("h"), F.explode(F.array_distinct(_words(F.col("__text")))).alias("term"))
-    held = held.join(F.broadcast(terms) if fits(terms.count(), 60) else terms, "term", "left_semi").distinct()
-    counts = held.groupBy("term").agg(F.count("*").alias("n_t"))
+    # Each of n copies of a text counts 1/n, so a text counts 1; sums by term are made before the shuffle.
+    shared = staged(copies.filter("n > 1"))
+    weighted = join_groups(docs.select(h, "__text"), shared, ["h"], "n", docs.count(), 32)
+    held = weighted.select((1 / F.coalesce("n", F.lit(1))).alias("w"), F.explode(F.array_distinct(_words(F.col("__text")))).alias("term"))
+    if fits(terms.count(), 60):
+        held = held.join(F.broadcast(terms), "term", "left_semi")
+    counts = held.groupBy("term").agg(F.round(F.sum("w")).alias("n_t"))
     # An entity that all texts hold has no information to give away.
     n = F.lit(float(max(total, 1)))
     share = F.try_divide(F.log(F.col("n_et") * n / (F.col("n_e") * F.col("n_t"))), F.log(n / F.col("n_e")))
