@@ -7,8 +7,9 @@
    share a sample with the probability of their weighted Jaccard similarity) and hashes them to BANDS keys.
 3. Documents of the same words are one node. In a bucket of a band every node is paired with one
    node, the star, so pairs grow with the members and not with their square. Pairs are
-   verified on their texts by exact weighted Jaccard similarity; links make components. Buckets that still hold
-   several components get other stars, until a round finds no link.
+   verified on their texts by exact weighted Jaccard similarity; links make components. In buckets that still hold
+   several components, members are compared with their next ones in a random order, and then
+   with other stars, until a round finds no link.
 
 Only ids, keys and counts are shuffled, and the texts of paired documents.
 """
@@ -19,11 +20,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellsheaf.llm import words as W
-from cellsheaf.llm.common import apart, fits, join_groups, staged
+from cellsheaf.llm.common import apart, fits, join_groups, staged, union_all
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -31,6 +32,8 @@ HASHES, BANDS = 64, 16
 COUNTER_BITS, BLOCK_BITS = 22, 16
 #: Members that one task verifies against a star at a time.
 STAR_MEMBERS = 16
+#: Next members that one is compared with, and members of a ring.
+RING, RING_MEMBERS = 8, 64
 #: Partial tables that one task adds up.
 FAN_IN = 64
 
@@ -160,11 +163,13 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFr
     A star's members are dealt to groups of about STAR_MEMBERS, each with a copy of the star's text.
     """
     sizes = staged(pairs.groupBy("star").agg(F.count("*").alias("n")))
+    subs = F.ceil(F.col("n") / STAR_MEMBERS)
     dealt = join_groups(pairs, sizes, ["star"], "n", pairs.count(), 32)
-    dealt = dealt.select("star", "member", F.pmod(F.xxhash64("member"), F.ceil(F.col("n") / STAR_MEMBERS)).alias("sub"))
-    roles = staged(dealt.union(dealt.select("star", F.col("star").alias("member"), "sub").distinct()))
+    members = dealt.select("star", "member", F.pmod(F.xxhash64("member"), subs).alias("sub"))
+    stars = sizes.select("star", F.col("star").alias("member"), F.explode(F.sequence(F.lit(0).cast("long"), subs - 1)).alias("sub"))
+    roles = members.union(stars)
     texts = docs.withColumnRenamed("doc_id", "member")
-    small = fits(roles.count(), 40)
+    small = fits(pairs.count() + (sizes.agg(F.sum(subs)).first()[0] or 0), 40)
     rows = texts.join(F.broadcast(roles) if small else roles, "member")
 
     def compare(group: pa.Table) -> pa.Table:
@@ -178,7 +183,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFr
         found = [i for i, v in zip(ids, valued) if i != star and any(similarity(v, x) >= threshold for x in stars)]
         return pa.table({"star": pa.array([star] * len(found), pa.int64()), "member": pa.array(found, pa.int64())})
 
-    return rows.groupBy("star", "sub").applyInArrow(compare, "star long, member long").distinct()
+    return rows.groupBy("star", "sub").applyInArrow(compare, "star long, member long")
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -199,7 +204,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round maps a node to its smallest neighbour, or itself, and contracts the links by that;
     chains fold up, so the rounds grow with the logarithm of the longest one.
     """
-    edges = staged(links.select(F.col("star").alias("a"), F.col("member").alias("b")).distinct())
+    edges = links.select(F.col("star").alias("a"), F.col("member").alias("b"))
     roots = None
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
@@ -233,20 +238,23 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = nodes.filter("rep is not null").select("rep", F.posexplode("keys").alias("band", "key"))
     buckets = staged(rows.groupBy("band", "key").agg(F.min("rep").alias("star"), F.count("*").alias("size")).filter("size > 1"))
     met = staged(join_groups(rows, buckets, ["band", "key"], "size", BANDS * nodes.count(), 40).filter("size is not null"))
-    tested = staged(met.filter("rep <> star").select("star", F.col("rep").alias("member")).distinct())
-    links = staged(verified(tested, docs, idf, threshold))
-    roots = components(links)
-    turn = 0
+    tested = [staged(met.filter("rep <> star").select("star", F.col("rep").alias("member")).distinct())]
+    links = [staged(verified(tested[0], docs, idf, threshold))]
+    roots = components(links[0])
     while True:
-        turn += 1
-        more = staged(_other_pairs(met, roots, turn).join(tested, ["star", "member"], "left_anti"))
+        # First neighbours in a random order, which are all pairs of the small buckets; then stars by other orders.
+        pairs = _ring_pairs(met, roots) if len(tested) == 1 else _star_pairs(met, roots, len(tested))
+        more = staged(pairs.join(union_all(tested), ["star", "member"], "left_anti"))
         if more.isEmpty():
             break
         found = staged(verified(more, docs, idf, threshold))
+        tested.append(more)
         if found.isEmpty():
-            break
-        links, tested = staged(links.union(found)), staged(tested.union(more))
-        roots = components(links)
+            if len(tested) > 2:
+                break
+            continue
+        links.append(found)
+        roots = components(union_all(links))
     classes = nodes.drop("keys").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
     classes = staged(classes.select("w1", "w2", "n", "class_id"))
     sizes = staged(classes.groupBy("class_id").agg(F.sum("n").alias("class_size"), F.count("*").alias("m")).filter("class_size > 1"))
@@ -261,20 +269,37 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
-def _other_pairs(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs with another star for each bucket that holds more than one component."""
+def _mixed(met: DataFrame, roots: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """Members of all buckets with their roots, and the buckets that hold more than one component."""
     labelled = met.select("band", "key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    order = F.xxhash64("rep", "band", F.lit(turn))
-    stars = staged(
-        labelled.groupBy("band", "key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(order, F.col("rep"), F.col("root"))).alias("s"), F.count("*").alias("size"))
-        .filter("low <> high")
-        .select("band", "key", F.col("s.rep").alias("star"), F.col("s.root").alias("star_root"), "size")
-    )
+    found = labelled.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), *more)
+    return labelled, staged(found.filter("low <> high"))
+
+
+def _star_pairs(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a star, chosen anew for each mixed bucket, with the members of other components."""
+    star = F.min(F.struct(F.xxhash64("rep", "band", F.lit(turn)), F.col("rep"), F.col("root"))).alias("s")
+    labelled, mixed = _mixed(met, roots, star)
+    stars = mixed.select("band", "key", F.col("s.rep").alias("star"), F.col("s.root").alias("star_root"), "size")
     pairs = join_groups(labelled, stars, ["band", "key"], "size", met.count(), 48).filter("star is not null and root <> star_root")
     return pairs.select(F.least("star", "rep").alias("star"), F.greatest("star", "rep").alias("member")).distinct()
 
 
+def _ring_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of each member of a mixed bucket with the next RING ones of other components, in a random order.
+
+    Large buckets are dealt to rings of about RING_MEMBERS members, so no window grows with a bucket.
+    """
+    labelled, mixed = _mixed(met, roots)
+    inside = join_groups(labelled, mixed.select("band", "key", "size"), ["band", "key"], "size", met.count(), 40).filter("size is not null")
+    ring = F.pmod(F.xxhash64("rep", F.lit("ring")), F.ceil(F.col("size") / RING_MEMBERS))
+    order = Window.partitionBy("band", "key", "ring").orderBy(F.xxhash64("rep", "band"), "rep")
+    ahead = F.collect_list(F.struct("rep", "root")).over(order.rowsBetween(1, RING))
+    ahead_of = inside.withColumn("ring", ring).withColumn("ahead", ahead)
+    pairs = ahead_of.select("rep", "root", F.explode("ahead").alias("o")).filter("o.root <> root")
+    return pairs.select(F.least("rep", "o.rep").alias("star"), F.greatest("rep", "o.rep").alias("member")).distinct()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each class of near-duplicates left (that with the smallest doc_id), with their own columns."""
     held, restore = apart(docs, ["class_id", "class_size", "kept"])
