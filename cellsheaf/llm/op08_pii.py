@@ -182,16 +182,20 @@ def sanitise(docs: DataFrame, text_col: str = "text", bound: int = BROADCAST_BYT
     Rows may repeat, ids may be null; input columns named like an output are replaced.
     """
     docs = without(docs, OUTPUT).withColumn("__text", text_of(text_col))
+    md5 = F.md5(F.col("__text").cast("binary")).alias("__md5")
     found = mentions(docs)
     terms = terms_by_text(found, disclosures(docs, found))
-    sizes = docs.select(F.md5(F.col("__text").cast("binary")).alias("md5")).join(terms.select("md5"), "md5", "left_semi") if not fits(terms.count(), 400, bound) else None
-    groups = terms.withColumn("n", F.lit(1).cast("long")) if sizes is None else staged(terms.join(sizes.groupBy("md5").agg(F.count("*").alias("n")), "md5"))
-    keyed = docs.withColumn("md5", F.md5(F.col("__text").cast("binary")))
-    met = join_groups(keyed, groups, ["md5"], "n", docs.count(), 400, bound)
+    terms = terms.select(F.col("md5").alias("__md5"), F.col("removed").alias("__removed"), F.col("general").alias("__general"))
+    if fits(terms.count(), 400, bound):
+        groups = terms.withColumn("__n", F.lit(1).cast("long"))
+    else:
+        copies = docs.select(md5).join(terms.select("__md5"), "__md5", "left_semi").groupBy("__md5").agg(F.count("*").alias("__n"))
+        groups = staged(terms.join(copies, "__md5"))
+    met = join_groups(docs.withColumn("__md5", md5), groups, ["__md5"], "__n", docs.count(), 400, bound)
     text = F.col("__text")
     base = F.coalesce(base_spans(text), F.expr(f"cast(array() as {_SPAN})"))
     met = met.withColumn("__base", base)
-    own = F.when(F.col("removed").isNotNull(), _term_spans(text, F.col("removed"), F.col("general"))).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    own = F.when(F.col("__removed").isNotNull(), _term_spans(text, F.col("__removed"), F.col("__general"))).otherwise(F.expr(f"cast(array() as {_SPAN})"))
     apart_ = F.filter(own, lambda s: ~F.exists(F.col("__base"), lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     met = met.withColumn("spans", F.array_sort(F.concat("__base", apart_)))
     return met.select(*[F.col(f"`{c}`") for c in docs.columns if c != "__text"], "spans", cleaned(text, F.col("spans")).alias("clean_text"))

@@ -100,10 +100,10 @@ def test_terms_that_give_entities_away(spark):
     rows += [rows[0], rows[0], None, "", "only p9@mail.example here once"]
     shown = method(rows)
     assert len(shown) >= 5 and any(w == "nähe" for _, w in shown)
-    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("SPANS", F.lit(1)).repartition(4)
+    table = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("SPANS", F.lit(1)).withColumns({"md5": F.lit("own"), "removed": F.lit("own"), "n": F.lit(7)}).repartition(4)
     for bound in (16 << 20, 0):
         got = {r["doc_id"]: r for r in sanitise(table, bound=bound).collect()}
-        assert len(got) == len(rows)
+        assert len(got) == len(rows) and {(r["md5"], r["removed"], r["n"]) for r in got.values()} == {("own", "own", 7)}
         for i, t in enumerate(rows):
             base = brute(t)
             owned = {}
