@@ -20,8 +20,9 @@ def staged(df: DataFrame) -> DataFrame:
     """Write a table to the folder that all executors share, and read it again.
 
     It cuts the lineage: a lost executor costs the tasks of one step, and later jobs see the
-    same rows in the same files.
+    same rows in the same files. Columns without a type become strings, as Parquet has none.
     """
+    df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if kind == "void"})
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
