@@ -154,16 +154,17 @@ def aoi_contains_footprint(spark, sf):
     return spatial.contained_footprints(scenes(spark, sf), supplier_areas(spark, sf))
 
 
-_C = projections.tm_constants(*projections.WGS84)
+# Published for WGS 84: rectifying radius times 0.9996, first eccentricity, and the first four coefficients of the series.
+_SCALE, _ECC = "(6367449.145823415e0 * 9996e-4)", "0.0818191908426215e0"
+_ALPHA = ("8.377318206244698e-4", "7.608527773572307e-7", "1.197645503329453e-9", "2.429170607201359e-12")
 _LAM = "radians(lon - (zone * 6e0 - 183e0))"
 
 
 def _utm_sql(source, keep):
     """Zone, easting and northing of rows with lon, lat; `keep` lists columns to pass on."""
-    east = "eta" + "".join(f" + {a!r} * cos({2.0 * j!r}e0 * xi) * sinh({2.0 * j!r}e0 * eta)" for j, a in enumerate(_C["alpha"], 1))
-    north = "xi" + "".join(f" + {a!r} * sin({2.0 * j!r}e0 * xi) * cosh({2.0 * j!r}e0 * eta)" for j, a in enumerate(_C["alpha"], 1))
-    scale = repr(0.9996 * _C["radius"]) + "e0"
-    k = repr(_C["k"]) + "e0"
+    east = "eta" + "".join(f" + {a} * cos({2 * j}e0 * xi) * sinh({2 * j}e0 * eta)" for j, a in enumerate(_ALPHA, 1))
+    north = "xi" + "".join(f" + {a} * sin({2 * j}e0 * xi) * cosh({2 * j}e0 * eta)" for j, a in enumerate(_ALPHA, 1))
+    scale, k = _SCALE, _ECC
     return f"""
 z AS (SELECT {keep}, lon, lat, least(cast(floor((lon + 180e0) / 6e0) AS int) + 1, 60) AS zone FROM {source}),
 t AS (SELECT *, sinh(atanh(sin(radians(lat))) - {k} * atanh({k} * sin(radians(lat)))) AS t FROM z),
@@ -183,19 +184,22 @@ def project_utm(spark, sf):
     return df.select("i", "epsg", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
-_L = {k: repr(v) + ("" if "e" in repr(v) else "e0") for k, v in projections.laea_constants().items()}
+# The projection's constants from GRS 80 and its origin 52 N 10 E, by the published formulas.
+_Q = "(1e0 - e * e) * ({s} / (1e0 - e * e * {s} * {s}) - 1e0 / (2e0 * e) * ln((1e0 - e * {s}) / (1e0 + e * {s})))"
 
 
 @case(
     "g10_project_laea_europe",
     f"""
-WITH p AS (SELECT i, lon + 13e1 AS lon, lat + 15e0 AS lat FROM {{fx_swath}}),
-q AS (SELECT *, sin(radians(lat)) AS s FROM p),
-b AS (SELECT *, asin((1e0 - {_L['e']} * {_L['e']}) * (s / (1e0 - {_L['e']} * {_L['e']} * s * s)
-   - 1e0 / (2e0 * {_L['e']}) * ln((1e0 - {_L['e']} * s) / (1e0 + {_L['e']} * s))) / {_L['qp']}) AS beta, radians(lon - 1e1) AS lam FROM q),
-k AS (SELECT *, {_L['rq']} * sqrt(2e0 / (1e0 + {_L['sin_b0']} * sin(beta) + {_L['cos_b0']} * cos(beta) * cos(lam))) AS k FROM b)
-SELECT i, round(4321e3 + k * {_L['d']} * cos(beta) * sin(lam), 3) AS x,
-   round(321e4 + k / {_L['d']} * ({_L['cos_b0']} * sin(beta) - {_L['sin_b0']} * cos(beta) * cos(lam)), 3) AS y FROM k""",
+WITH el AS (SELECT 6378137e0 AS a, sqrt(2e0 / 298.257222101e0 - 1e0 / (298.257222101e0 * 298.257222101e0)) AS e, sin(radians(52e0)) AS s0),
+qs AS (SELECT *, {_Q.format(s="1e0")} AS qp, {_Q.format(s="s0")} AS q0 FROM el),
+bs AS (SELECT *, asin(q0 / qp) AS b0, a * sqrt(qp / 2e0) AS rq FROM qs),
+cs AS (SELECT *, a * cos(radians(52e0)) / sqrt(1e0 - e * e * s0 * s0) / (rq * cos(b0)) AS d FROM bs),
+p AS (SELECT i, radians(lon + 13e1 - 1e1) AS lam, sin(radians(lat + 15e0)) AS s FROM {{fx_swath}}),
+b AS (SELECT *, asin({_Q.format(s="s")} / qp) AS beta FROM p, cs),
+k AS (SELECT *, rq * sqrt(2e0 / (1e0 + sin(b0) * sin(beta) + cos(b0) * cos(beta) * cos(lam))) AS k FROM b)
+SELECT i, round(4321e3 + k * d * cos(beta) * sin(lam), 3) AS x,
+   round(321e4 + k / d * (cos(b0) * sin(beta) - sin(b0) * cos(beta) * cos(lam)), 3) AS y FROM k""",
 )
 def project_laea_europe(spark, sf):
     x, y = projections.laea_europe(F.col("lon") + 130.0, F.col("lat") + 15.0)
