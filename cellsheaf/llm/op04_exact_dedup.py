@@ -39,6 +39,9 @@ def copy_groups(docs: DataFrame, total: int, id_col: str = "doc_id", text_col: s
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BROADCAST_BYTES) -> DataFrame:
     """Add keep_id, group_size, kept and text_sha256 to every document.
 
+    The groups come from copy_groups(), which looks into whole texts only where length and prefix leave a doubt. The
+    digest of every text is asked for besides, so the last scan hashes all of them where they are read.
+
     Texts are equal when they are identical; null counts as empty. The row with the largest id
     stays. An id that is null never wins against another; if all ids of a group are null, all its rows
     stay. Rows that repeat an id and its text are one document and share its decision. Input
