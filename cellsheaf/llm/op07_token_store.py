@@ -33,15 +33,18 @@ MAGIC = b"TKZ1"
 END = 1
 ENTRY = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("at", "<u8"), ("size", "<u4"), ("ids", "<u4")])
 FOOTER = "<QQQ32s4s"
-#: The dictionary is trained on at most so many documents (those with the smallest hashes of id and text) and ids of each.
+#: The dictionary is trained on about so many documents (chosen by the hash of id and text, twice as many at most) and ids of each.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES, LEVEL = 2000, 4096, 64 << 10, 3
 FILES = "part long, path string, first_id long, documents long, ids long, bytes long, dictionary string"
 
 
 def train_dictionary(docs: DataFrame, path: str, end: int = END) -> bytes:
     """A zstandard dictionary from the ids of a bounded sample; empty if there are too few documents to train one."""
-    sample = docs.select(F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_DOCS)
-    arrays = [ids[: 4 * SAMPLE_IDS] for ids in encoded(path, (r["text"][: 8 * SAMPLE_IDS] if r["text"] else "" for r in sample.select("text").toLocalIterator()), end)]
+    total, parts = docs.count(), 1 << 40
+    share = parts if total <= SAMPLE_DOCS else parts * SAMPLE_DOCS // total
+    text = F.substring(F.col("text").cast("string"), 1, 8 * SAMPLE_IDS)
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < share).select(text.alias("text")).limit(2 * SAMPLE_DOCS)
+    arrays = [ids[: 4 * SAMPLE_IDS] for ids in encoded(path, (r["text"] for r in sample.toLocalIterator()), end)]
     arrays = [a for a in arrays if len(a) >= 8]
     if len(arrays) < 16:
         return b""
