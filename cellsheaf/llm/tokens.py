@@ -13,8 +13,8 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 
-#: Pre-tokens remembered in a worker before it starts anew.
-MEMORY = 800_000
+#: Pre-tokens remembered in a worker: so many new ones, and as many of those before them that are still met.
+MEMORY = 200_000
 _LETTER, _NUMBER = "a-zA-ZªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
 #: Space, line ends and the printable characters of Latin-1: letters, numbers, case and normal forms of these are the same everywhere.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]*\Z")
@@ -35,13 +35,17 @@ def _printable() -> list[str]:
 class _Memory(dict):
     def __init__(self, model):
         super().__init__()
-        self.model, self.shown = model, _printable()
+        self.model, self.shown, self.older = model, _printable(), {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize("".join([self.shown[b] for b in word.encode()]))]
         if len(self) >= MEMORY:
+            self.older = dict(self)
             self.clear()
-        out = self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        out = self.older.get(word)
+        if out is None:
+            ids = [t.id for t in self.model.tokenize("".join([self.shown[b] for b in word.encode()]))]
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = out
         return out
 
 

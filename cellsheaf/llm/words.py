@@ -95,7 +95,7 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed(out)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
     """Cut a batch into runs of rows with about so many bytes of text, or one longer row."""
     size = raw(batch.column(column))[1]
     at = 0
