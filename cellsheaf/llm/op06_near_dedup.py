@@ -8,8 +8,9 @@
 3. Documents of the same words are one node. In a bucket of a band every node is paired with one
    node, the star, so pairs grow with the members and not with their square. Pairs are
    verified on their texts by exact weighted Jaccard similarity; links make components. In buckets that still hold
-   several components, members are compared with their next ones in a random order, and then
-   with other stars, until a round finds no link.
+   several components all pairs of different ones are compared: in small buckets on their texts, in larger
+   ones first by the samples that agree (tiles of two blocks of members), then on their texts if AGREE or more do.
+   A pair at the threshold has fewer with a chance of about 1 in 100,000.
 
 Only ids, keys and counts are shuffled, and the texts of paired documents.
 """
@@ -32,8 +33,11 @@ HASHES, BANDS = 64, 16
 COUNTER_BITS, BLOCK_BITS = 22, 16
 #: Members that one task verifies against a star at a time.
 STAR_MEMBERS = 16
-#: Next members that one is compared with, and members of a ring.
-RING, RING_MEMBERS = 8, 64
+#: Members of a small bucket, whose pairs are all verified.
+SMALL = 9
+#: Samples that agree in pairs of larger buckets that are verified; members of a block of samples (least and most) and of texts.
+AGREE = 36
+BLOCK_LEAST, BLOCK_MOST, BLOCKS, TEXT_BLOCK = 128, 2048, 64, 32
 #: Partial tables that one task adds up.
 FAN_IN = 64
 
@@ -133,7 +137,7 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, w1 and w2 (128-bit hash of the words, null without any) and the band keys of each document."""
+    """doc_id, w1 and w2 (128-bit hash of the words, null without any), the band keys and 16 bits of each sample of each document."""
 
     def sign(batches):
         for batch in batches:
@@ -141,20 +145,22 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 h, at = W.words(part.column("text"))
                 n = part.num_rows
                 filled = np.flatnonzero(np.diff(at))
-                keys = np.zeros((n, BANDS), np.int64)
+                keys, sketch = np.zeros((n, BANDS), np.int64), np.zeros((n, HASHES), "<u2")
                 if len(filled):
                     own = [counted(h[at[i] : at[i + 1]]) for i in filled]
                     s, c = (np.concatenate(x) for x in zip(*own))
                     first = np.cumsum([0, *(len(x) for x, _ in own)])[:-1]
-                    keys[filled] = band_keys(samples(s, weights(s, c, idf.value), first))
+                    found = samples(s, weights(s, c, idf.value), first)
+                    keys[filled], sketch[filled] = band_keys(found), found & np.uint64(0xFFFF)
                 place = np.arange(len(h), dtype=np.uint64) - np.repeat(at[:-1], np.diff(at)).astype(np.uint64)
                 sums = [np.append(np.uint64(0), np.cumsum(W.mixed(h + place * np.uint64(odd)))) for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
                 none = np.diff(at) == 0
                 words = [pa.array((x[at[1:]] - x[at[:-1]]).view(np.int64), mask=none) for x in sums]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *words, lists], names=["doc_id", "w1", "w2", "keys"])
+                bits = pa.array([x.tobytes() for x in sketch], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *words, lists, bits], names=["doc_id", "w1", "w2", "keys", "sketch"])
 
-    return docs.mapInArrow(sign, "doc_id long, w1 long, w2 long, keys array<long>")
+    return docs.mapInArrow(sign, "doc_id long, w1 long, w2 long, keys array<long>, sketch binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
@@ -186,6 +192,31 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFr
     return rows.groupBy("star", "sub").applyInArrow(compare, "star long, member long")
 
 
+def verified_tiles(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+    """As verified(), for pairs (star, member, band, key, size) of large buckets, of which many share both texts' blocks.
+
+    The members of a bucket are dealt to blocks of about TEXT_BLOCK; two blocks with a pair meet with one copy of each text in a pair.
+    """
+    tile = ["band", "key", "p", "q"]
+    block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.ceil(F.col("size") / TEXT_BLOCK))
+    placed = pairs.withColumn("a", block("star")).withColumn("b", block("member"))
+    placed = placed.select("star", "member", "band", "key", F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
+    roles = staged(placed.select(F.explode(F.array("star", "member")).alias("doc_id"), *tile).distinct())
+    texts = docs.join(F.broadcast(roles) if fits(roles.count(), 60) else roles, "doc_id").select(*tile, "doc_id", "text")
+
+    def compare(held: pa.Table, met: pa.Table) -> pa.Table:
+        valued: dict = {}
+        h, at = W.words(held.column("text").combine_chunks())
+        for k, doc in enumerate(held.column("doc_id").to_pylist()):
+            s, n = counted(h[at[k] : at[k + 1]])
+            valued.setdefault(doc, []).append((s, weights(s, n, idf.value)))
+        own = zip(met.column("star").to_pylist(), met.column("member").to_pylist())
+        found = [(i, j) for i, j in own if any(similarity(x, y) >= threshold for x in valued.get(i, ()) for y in valued.get(j, ()))]
+        return pa.table({"star": pa.array([i for i, _ in found], pa.int64()), "member": pa.array([j for _, j in found], pa.int64())})
+
+    return texts.groupBy(*tile).cogroup(placed.groupBy(*tile)).applyInArrow(compare, "star long, member long")
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two sorted shingle sets with weights; of two empty ones 0."""
     if len(a[0]) > len(b[0]):
@@ -234,28 +265,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     idf = context.broadcast(inverse_frequencies(docs))
     signed = staged(signatures(docs, idf))
     same = signed.filter("w1 is not null").groupBy("w1", "w2")
-    nodes = staged(same.agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("keys").alias("keys")))
+    nodes = staged(same.agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")))
     rows = nodes.filter("rep is not null").select("rep", F.posexplode("keys").alias("band", "key"))
     buckets = staged(rows.groupBy("band", "key").agg(F.min("rep").alias("star"), F.count("*").alias("size")).filter("size > 1"))
     met = staged(join_groups(rows, buckets, ["band", "key"], "size", BANDS * nodes.count(), 40).filter("size is not null"))
     tested = [staged(met.filter("rep <> star").select("star", F.col("rep").alias("member")).distinct())]
     links = [staged(verified(tested[0], docs, idf, threshold))]
     roots = components(links[0])
-    while True:
-        # First neighbours in a random order, which are all pairs of the small buckets; then stars by other orders.
-        pairs = _ring_pairs(met, roots) if len(tested) == 1 else _star_pairs(met, roots, len(tested))
-        more = staged(pairs.join(union_all(tested), ["star", "member"], "left_anti"))
-        if more.isEmpty():
-            break
-        found = staged(verified(more, docs, idf, threshold))
-        tested.append(more)
-        if found.isEmpty():
-            if len(tested) > 2:
-                break
-            continue
-        links.append(found)
+    # All pairs of the buckets that still hold several components: of the small ones, then of those larger ones that are left.
+    small = staged(_small_pairs(met, roots).join(tested[0], ["star", "member"], "left_anti"))
+    if not small.isEmpty():
+        tested.append(small)
+        links.append(staged(verified(small, docs, idf, threshold)))
+        roots = components(union_all(links))
+    large = staged(_large_pairs(met, roots, nodes.select("rep", "sketch")).join(union_all(tested), ["star", "member"], "left_anti"))
+    if not large.isEmpty():
+        links.append(staged(verified_tiles(large, docs, idf, threshold)))
         roots = components(union_all(links))
-    classes = nodes.drop("keys").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
+    classes = nodes.drop("keys", "sketch").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
     classes = staged(classes.select("w1", "w2", "n", "class_id"))
     sizes = staged(classes.groupBy("class_id").agg(F.sum("n").alias("class_size"), F.count("*").alias("m")).filter("class_size > 1"))
     grown = staged(join_groups(classes, sizes, ["class_id"], "m", classes.count(), 40).filter("class_size is not null").select("w1", "w2", "n", "class_id", "class_size"))
@@ -269,35 +296,53 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
-def _mixed(met: DataFrame, roots: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
-    """Members of all buckets with their roots, and the buckets that hold more than one component."""
-    labelled = met.select("band", "key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    found = labelled.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), *more)
-    return labelled, staged(found.filter("low <> high"))
+def _mixed(met: DataFrame, roots: DataFrame, sizes: Column) -> DataFrame:
+    """Members (band, key, rep, root, size) of the buckets of such sizes that hold more than one component."""
+    labelled = met.filter(sizes).select("band", "key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    found = labelled.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+    mixed = staged(found.filter("low <> high").select("band", "key", "size"))
+    return join_groups(labelled, mixed, ["band", "key"], "size", met.count(), 40).filter("size is not null")
 
 
-def _star_pairs(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a star, chosen anew for each mixed bucket, with the members of other components."""
-    star = F.min(F.struct(F.xxhash64("rep", "band", F.lit(turn)), F.col("rep"), F.col("root"))).alias("s")
-    labelled, mixed = _mixed(met, roots, star)
-    stars = mixed.select("band", "key", F.col("s.rep").alias("star"), F.col("s.root").alias("star_root"), "size")
-    pairs = join_groups(labelled, stars, ["band", "key"], "size", met.count(), 48).filter("star is not null and root <> star_root")
-    return pairs.select(F.least("star", "rep").alias("star"), F.greatest("star", "rep").alias("member")).distinct()
+def _small_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs of members of different components in mixed buckets of at most SMALL members."""
+    order = Window.partitionBy("band", "key").orderBy("rep")
+    ahead = F.collect_list(F.struct("rep", "root")).over(order.rowsBetween(1, SMALL))
+    met_with = _mixed(met, roots, F.col("size") <= SMALL).withColumn("ahead", ahead)
+    pairs = met_with.select("rep", "root", F.explode("ahead").alias("o")).filter("o.root <> root")
+    return pairs.select(F.least("rep", "o.rep").alias("star"), F.greatest("rep", "o.rep").alias("member")).distinct()
 
 
-def _ring_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of each member of a mixed bucket with the next RING ones of other components, in a random order.
+def _large_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
+    """All pairs (star, member) of different components in larger mixed buckets with AGREE or more equal samples, and one bucket (band, key, size) of each.
 
-    Large buckets are dealt to rings of about RING_MEMBERS members, so no window grows with a bucket.
+    The members of a bucket are dealt to blocks, and every two blocks meet in a group of their own. Blocks of buckets of up to
+    BLOCKS * BLOCK_MOST members grow with them, so a member has at most BLOCKS copies there.
     """
-    labelled, mixed = _mixed(met, roots)
-    inside = join_groups(labelled, mixed.select("band", "key", "size"), ["band", "key"], "size", met.count(), 40).filter("size is not null")
-    ring = F.pmod(F.xxhash64("rep", F.lit("ring")), F.ceil(F.col("size") / RING_MEMBERS))
-    order = Window.partitionBy("band", "key", "ring").orderBy(F.xxhash64("rep", "band"), "rep")
-    ahead = F.collect_list(F.struct("rep", "root")).over(order.rowsBetween(1, RING))
-    ahead_of = inside.withColumn("ring", ring).withColumn("ahead", ahead)
-    pairs = ahead_of.select("rep", "root", F.explode("ahead").alias("o")).filter("o.root <> root")
-    return pairs.select(F.least("rep", "o.rep").alias("star"), F.greatest("rep", "o.rep").alias("member")).distinct()
+    width = F.least(F.greatest(F.col("size") / BLOCKS, F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
+    inside = _mixed(met, roots, F.col("size") > SMALL).join(sketches, "rep").withColumn("blocks", F.ceil(F.col("size") / width))
+    inside = inside.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    tiled = inside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    tiled = tiled.select("band", "key", "size", "rep", "root", "sketch", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+
+    def agree(group: pa.Table) -> pa.Table:
+        rep, root, block = (group.column(c).to_numpy() for c in ("rep", "root", "block"))
+        bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u2").reshape(-1, HASHES)
+        p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
+        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        equal = np.zeros((len(left), len(right)), np.uint8)
+        for a, b in zip(np.ascontiguousarray(bits[left].T), np.ascontiguousarray(bits[right].T)):
+            equal += a[:, None] == b[None, :]
+        i, j = np.nonzero((equal >= AGREE) & (root[left][:, None] != root[right][None, :]))
+        i, j = rep[left[i]], rep[right[j]]
+        once = i < j if p == q else np.ones(len(i), bool)
+        i, j = i[once], j[once]
+        n = len(i)
+        same = {c: pa.array(np.full(n, group.column(c)[0].as_py()), t) for c, t in (("band", pa.int32()), ("key", pa.int64()), ("size", pa.int64()))}
+        return pa.table({"star": pa.array(np.minimum(i, j), pa.int64()), "member": pa.array(np.maximum(i, j), pa.int64()), **same})
+
+    pairs = tiled.groupBy("band", "key", "p", "q").applyInArrow(agree, "star long, member long, band int, key long, size long")
+    return pairs.groupBy("star", "member").agg(F.min(F.struct("band", "key", "size")).alias("s")).select("star", "member", "s.*")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -89,3 +89,18 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (99, 101)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "star long, member long")).collect()}
     assert got == {i: 0 for i in range(41)} | {99: 99, 100: 99, 101: 99}
+
+
+def test_pairs_in_a_large_bucket_of_several_components(spark):
+    """Texts at about 0.75 to each other by a passage they share, and pairs among them just above 0.8."""
+    rng = random.Random(66)
+    word = lambda: f"u{rng.randint(0, 10**9)}"
+    passage = [word() for _ in range(204)]
+    tails = [[word() for _ in range(18)] for _ in range(300)]
+    for k in range(40):
+        tails[299 - k] = tails[20 + k][:7] + tails[299 - k][7:]
+    rows = [(7 * i, " ".join(passage + t)) for i, t in enumerate(tails)]
+    want = brute(rows)
+    assert len(set(want.values())) == 260
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["class_id"] for r in near_classes(docs).collect()} == want
