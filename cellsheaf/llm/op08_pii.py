@@ -102,8 +102,13 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["rank"]), s["start"], s["end"])), ",")
 
 
+def folded(text: Column) -> Column:
+    """In lower case at its own length: the capital dotted I is the one character whose lower case has two."""
+    return F.lower(F.translate(text, "\u0130", "i"))
+
+
 def _words(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= LEAST_CHARS)
+    return F.filter(F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= LEAST_CHARS)
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -152,12 +157,9 @@ def terms_by_text(found: DataFrame, shown: DataFrame) -> DataFrame:
 def _term_spans(text: Column, removed: Column, general: Column) -> Column:
     terms = F.concat(removed, general)
     inside = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    folded = F.lower(text)
-    # Case folding that changes the length of a text would move its offsets.
     pattern = F.concat(F.lit(f"(?<!{inside})(?:"), F.array_join(terms, "|"), F.lit(f")(?!{inside})"))
     rank = lambda m: F.when(F.array_contains(removed, m), 4).otherwise(5)
-    usable = (F.size(terms) > 0) & (F.length(folded) == F.length(text))
-    return F.when(usable, matches(folded, rank, pattern, lambda m: F.lit(True))).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    return F.when(F.size(terms) > 0, matches(folded(text), rank, pattern, lambda m: F.lit(True))).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
 
 def cleaned(text: Column, spans: Column) -> Column:
@@ -178,7 +180,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", bound: int = BROADCAST_BYT
     """Add spans (start, rank in KINDS and METHOD_KINDS, end, value; by start and rank) and clean_text to each document.
 
     Offsets count code points, the end is exclusive. A null or empty text has no spans. Spans of terms that
-    overlap a base span are left out. A text whose lower case has another length gets base spans only.
+    overlap a base span are left out.
     Rows may repeat, ids may be null; input columns named like an output are replaced.
     """
     docs = without(docs, OUTPUT).withColumn("__text", text_of(text_col))

@@ -124,3 +124,11 @@ def test_terms_that_give_entities_away(spark):
 
 def test_digest_of_no_spans():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0") and len(METHOD_KINDS) == 2
+
+
+def test_texts_with_a_capital_dotted_i(spark):
+    rows = [f"\u0130stanbul filler{i} nickname q@mail.example" for i in range(4)] + [f"other{i} text" for i in range(40)]
+    got = sanitise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).filter("doc_id < 4").collect()
+    assert len(got) == 4
+    for r in got:
+        assert r["clean_text"].split() == [f"filler{r['doc_id']}", "[EMAIL]"], r["clean_text"]
