@@ -4,7 +4,7 @@ A protected entity is a value of one of the base kinds. Over all distinct texts,
 are the shares that hold the entity, hold the term, and hold the term within WINDOW
 characters of the entity. The disclosure of e by t is PMI(e;t) / IC(e), the part of the entity's information
 log 1/p(e) that the term gives away. Terms at GENERAL or more are generalised and at REMOVE or
-more removed, wherever they stand in a text that holds the entity. Copies of a text
+more removed, wherever they stand, in texts without the entity too. Copies of a text
 count once, or copying alone would make every neighbour of an entity look like its sign; a pair counts from SUPPORT texts on.
 
 All of it is DataFrame functions. The work over all texts is one scan for the entities, one for the counts of
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cellsheaf.llm.common import BROADCAST_BYTES, fits, join_groups, staged, text_of, without
 
-WINDOW, SUPPORT, GENERAL, REMOVE, LEAST_CHARS = 80, 2, 0.8, 0.95, 3
+WINDOW, SUPPORT, GENERAL, REMOVE = 80, 2, 0.8, 0.95
 KINDS = ("email", "ip", "card", "phone")
 METHOD_KINDS = ("removed", "general")
 #: The base patterns of the contract in linear time: a run of characters is tried from its start (or from the end of the
@@ -108,7 +108,7 @@ def folded(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0)), lambda w: F.length(w) >= LEAST_CHARS)
+    return F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -146,11 +146,13 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     return staged(pairs.join(counts, "term").join(entities, "entity").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERAL))
 
 
-def terms_by_text(found: DataFrame, shown: DataFrame) -> DataFrame:
-    """md5 of each text with entities that terms give away, and those terms, to remove and to generalise."""
-    own = found.select("md5", "entity").join(shown, "entity").groupBy("md5", "term").agg(F.max("disclosure").alias("d"))
-    removed = F.sort_array(F.collect_list(F.when(F.col("d") >= REMOVE, F.col("term"))))
-    general = F.sort_array(F.collect_list(F.when(F.col("d") < REMOVE, F.col("term"))))
+def terms_by_text(docs: DataFrame, shown: DataFrame) -> DataFrame:
+    """md5 of each text that holds terms which give an entity away, and those terms, to remove and to generalise."""
+    terms = staged(shown.groupBy("term").agg(F.max("disclosure").alias("d")))
+    held = docs.select(F.md5(F.col("__text").cast("binary")).alias("md5"), F.explode(F.array_distinct(_words(F.col("__text")))).alias("term"))
+    own = held.join(F.broadcast(terms) if fits(terms.count(), 60) else terms, "term")
+    removed = F.sort_array(F.collect_set(F.when(F.col("d") >= REMOVE, F.col("term"))))
+    general = F.sort_array(F.collect_set(F.when(F.col("d") < REMOVE, F.col("term"))))
     return staged(own.groupBy("md5").agg(removed.alias("removed"), general.alias("general")))
 
 
@@ -186,7 +188,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", bound: int = BROADCAST_BYT
     docs = without(docs, OUTPUT).withColumn("__text", text_of(text_col))
     md5 = F.md5(F.col("__text").cast("binary")).alias("__md5")
     found = mentions(docs)
-    terms = terms_by_text(found, disclosures(docs, found))
+    terms = terms_by_text(docs, disclosures(docs, found))
     terms = terms.select(F.col("md5").alias("__md5"), F.col("removed").alias("__removed"), F.col("general").alias("__general"))
     if fits(terms.count(), 400, bound):
         groups = terms.withColumn("__n", F.lit(1).cast("long"))

@@ -132,3 +132,12 @@ def test_texts_with_a_capital_dotted_i(spark):
     assert len(got) == 4
     for r in got:
         assert r["clean_text"].split() == [f"filler{r['doc_id']}", "[EMAIL]"], r["clean_text"]
+
+
+def test_terms_in_texts_without_the_entity(spark):
+    """A nickname and a name of two characters, near an address in most of the texts that hold them."""
+    rows = [f"nickname jo q@mail.example text{i}" for i in range(10)] + [f"about nickname and jo {i}x" for i in range(3)] + [f"other{i} words" for i in range(400)]
+    for bound in (16 << 20, 0):
+        got = {r["doc_id"]: r["clean_text"].split() for r in sanitise(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), bound=bound).collect()}
+        assert all(got[i] == ["[TERM]", "[TERM]", "[EMAIL]", f"text{i}"] for i in range(10))
+        assert all(got[10 + i] == ["about", "[TERM]", "and", "[TERM]", f"{i}x"] for i in range(3))
