@@ -13,6 +13,11 @@ from cellsheaf.llm.op07_token_store import op7_token_store
 from cellsheaf.llm.op08_pii import op8_pii
 from cellsheaf.llm.op09_pack import op9_pack
 from cellsheaf.llm.op10_decontaminate import op10_decontaminate
+from cellsheaf.llm.op11_spelling import op11_spelling
+from cellsheaf.llm.op12_embeddings import ORACLE as OP12_SQL
+from cellsheaf.llm.op12_embeddings import op12_embeddings
+from cellsheaf.llm.op13_divergence import ORACLE as OP13_SQL
+from cellsheaf.llm.op13_divergence import op13_divergence
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -25,6 +30,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_pack": op9_pack,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling": op11_spelling,
+    "op12_embeddings": op12_embeddings,
+    "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op2_warc": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op12_embeddings": OP12_SQL, "op13_divergence": OP13_SQL}
