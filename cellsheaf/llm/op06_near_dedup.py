@@ -8,11 +8,12 @@
 3. Documents of the same words are one node. In a bucket of a band every node is paired with one
    node, the star, so pairs grow with the members and not with their square. Pairs are
    verified on their texts by exact weighted Jaccard similarity; links make components. In buckets that still hold
-   several components all pairs of different ones are compared: in small buckets on their texts, in larger
-   ones first by the samples that agree (tiles of two blocks of members), then on their texts if AGREE or more do.
-   A pair at the threshold has fewer with a chance of about 1 in 100,000.
+   several components all pairs of different ones are compared: in small buckets on their texts. Larger ones that
+   share members become one set, each member in it once, dealt to blocks; a task of two blocks compares by the samples that agree,
+   then by shingles if AGREE or more do (a pair at the threshold has fewer with a chance of about 1 in a thousand million),
+   skips what it has already connected and gives one link for each join of two components, never a row for a pair.
 
-Only ids, keys and counts are shuffled, and the texts of paired documents.
+Only ids, keys and counts are shuffled, and the texts of paired documents or of members of sets.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ COUNTER_BITS, BLOCK_BITS = 22, 16
 STAR_MEMBERS = 16
 #: Members of a small bucket, whose pairs are all verified.
 SMALL = 9
-#: Samples that agree in pairs of larger buckets that are verified; members of a block of samples (least and most) and of texts.
-AGREE = 36
-BLOCK_LEAST, BLOCK_MOST, BLOCKS, TEXT_BLOCK = 128, 2048, 64, 32
+#: Samples that agree in pairs of larger buckets that are verified; members of a block, least and most, and blocks until they are that large.
+AGREE = 30
+BLOCK_LEAST, BLOCK_MOST, BLOCKS = 2048, 4096, 64
 #: Partial tables that one task adds up.
 FAN_IN = 64
 
@@ -192,31 +193,6 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFr
     return rows.groupBy("star", "sub").applyInArrow(compare, "star long, member long")
 
 
-def verified_tiles(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
-    """As verified(), for pairs (star, member, band, key, size) of large buckets, of which many share both texts' blocks.
-
-    The members of a bucket are dealt to blocks of about TEXT_BLOCK; two blocks with a pair meet with one copy of each text in a pair.
-    """
-    tile = ["band", "key", "p", "q"]
-    block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.ceil(F.col("size") / TEXT_BLOCK))
-    placed = pairs.withColumn("a", block("star")).withColumn("b", block("member"))
-    placed = placed.select("star", "member", "band", "key", F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
-    roles = staged(placed.select(F.explode(F.array("star", "member")).alias("doc_id"), *tile).distinct())
-    texts = docs.join(F.broadcast(roles) if fits(roles.count(), 60) else roles, "doc_id").select(*tile, "doc_id", "text")
-
-    def compare(held: pa.Table, met: pa.Table) -> pa.Table:
-        valued: dict = {}
-        h, at = W.words(held.column("text").combine_chunks())
-        for k, doc in enumerate(held.column("doc_id").to_pylist()):
-            s, n = counted(h[at[k] : at[k + 1]])
-            valued.setdefault(doc, []).append((s, weights(s, n, idf.value)))
-        own = zip(met.column("star").to_pylist(), met.column("member").to_pylist())
-        found = [(i, j) for i, j in own if any(similarity(x, y) >= threshold for x in valued.get(i, ()) for y in valued.get(j, ()))]
-        return pa.table({"star": pa.array([i for i, _ in found], pa.int64()), "member": pa.array([j for _, j in found], pa.int64())})
-
-    return texts.groupBy(*tile).cogroup(placed.groupBy(*tile)).applyInArrow(compare, "star long, member long")
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two sorted shingle sets with weights; of two empty ones 0."""
     if len(a[0]) > len(b[0]):
@@ -278,9 +254,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         tested.append(small)
         links.append(staged(verified(small, docs, idf, threshold)))
         roots = components(union_all(links))
-    large = staged(_large_pairs(met, roots, nodes.select("rep", "sketch")).join(union_all(tested), ["star", "member"], "left_anti"))
-    if not large.isEmpty():
-        links.append(staged(verified_tiles(large, docs, idf, threshold)))
+    large = _large_links(met, roots, nodes.select("rep", "sketch"), docs, idf, threshold)
+    if large is not None:
+        links.append(staged(large))
         roots = components(union_all(links))
     classes = nodes.drop("keys", "sketch").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
     classes = staged(classes.select("w1", "w2", "n", "class_id"))
@@ -297,8 +273,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _mixed(met: DataFrame, roots: DataFrame, sizes: Column) -> DataFrame:
-    """Members (band, key, rep, root, size) of the buckets of such sizes that hold more than one component."""
-    labelled = met.filter(sizes).select("band", "key", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    """Members (band, key, star, rep, root, size) of the buckets of such sizes that hold more than one component."""
+    labelled = met.filter(sizes).select("band", "key", "star", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     found = labelled.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
     mixed = staged(found.filter("low <> high").select("band", "key", "size"))
     return join_groups(labelled, mixed, ["band", "key"], "size", met.count(), 40).filter("size is not null")
@@ -313,36 +289,67 @@ def _small_pairs(met: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "o.rep").alias("star"), F.greatest("rep", "o.rep").alias("member")).distinct()
 
 
-def _large_pairs(met: DataFrame, roots: DataFrame, sketches: DataFrame) -> DataFrame:
-    """All pairs (star, member) of different components in larger mixed buckets with AGREE or more equal samples, and one bucket (band, key, size) of each.
+def _large_links(met: DataFrame, roots: DataFrame, sketches: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame | None:
+    """Links (star, member) that join different components in larger mixed buckets, at most one fewer a task than its members; None without such buckets.
 
-    The members of a bucket are dealt to blocks, and every two blocks meet in a group of their own. Blocks of buckets of up to
-    BLOCKS * BLOCK_MOST members grow with them, so a member has at most BLOCKS copies there.
+    Buckets with a member in common are one set, so that a member comes once and not once a band. Every two blocks of a set meet in a task;
+    blocks of sets of up to BLOCKS * BLOCK_MOST members grow with them, so a member has at most BLOCKS copies there.
     """
-    width = F.least(F.greatest(F.col("size") / BLOCKS, F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
-    inside = _mixed(met, roots, F.col("size") > SMALL).join(sketches, "rep").withColumn("blocks", F.ceil(F.col("size") / width))
-    inside = inside.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    tiled = inside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    tiled = tiled.select("band", "key", "size", "rep", "root", "sketch", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
-
-    def agree(group: pa.Table) -> pa.Table:
-        rep, root, block = (group.column(c).to_numpy() for c in ("rep", "root", "block"))
+    inside = staged(_mixed(met, roots, F.col("size") > SMALL))
+    if inside.isEmpty():
+        return None
+    sets = components(inside.filter("star <> rep").select("star", F.col("rep").alias("member")).distinct())
+    members = staged(inside.select("rep", "root").distinct().join(sets.select(F.col("node").alias("rep"), F.col("root").alias("set")), "rep").join(sketches, "rep"))
+    total = members.count()
+    sizes = staged(members.groupBy("set").agg(F.count("*").alias("m")))
+    width = F.least(F.greatest(F.col("m") / BLOCKS, F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
+    dealt = join_groups(members, sizes, ["set"], "m", total, 16).withColumn("blocks", F.ceil(F.col("m") / width))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).withColumnRenamed("rep", "doc_id")
+    texts = docs.join(F.broadcast(dealt) if fits(total, 240) else dealt, "doc_id")
+    tiled = texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    tiled = tiled.select("set", "doc_id", "root", "sketch", "text", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, root, block = (group.column(c).to_numpy() for c in ("doc_id", "root", "block"))
+        root = np.unique(root, return_inverse=True)[1]
         bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u2").reshape(-1, HASHES)
+        h, at = W.words(group.column("text").combine_chunks())
+        bags = [counted(h[i:j]) for i, j in zip(at[:-1], at[1:])]
+        size = np.array([len(s) for s, _ in bags])
+        first = np.append(0, np.cumsum(size))
+        shingle = np.concatenate([s for s, _ in bags])
+        weight = weights(shingle, np.concatenate([n for _, n in bags]), idf.value)
+        known, shingle = np.unique(shingle, return_inverse=True)
+        sums = np.add.reduceat(weight, first[:-1], dtype=np.float64)
+        held = np.zeros(len(known), np.float32)
         p, q = group.column("p")[0].as_py(), group.column("q")[0].as_py()
         left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        equal = np.zeros((len(left), len(right)), np.uint8)
-        for a, b in zip(np.ascontiguousarray(bits[left].T), np.ascontiguousarray(bits[right].T)):
-            equal += a[:, None] == b[None, :]
-        i, j = np.nonzero((equal >= AGREE) & (root[left][:, None] != root[right][None, :]))
-        i, j = rep[left[i]], rep[right[j]]
-        once = i < j if p == q else np.ones(len(i), bool)
-        i, j = i[once], j[once]
-        n = len(i)
-        same = {c: pa.array(np.full(n, group.column(c)[0].as_py()), t) for c, t in (("band", pa.int32()), ("key", pa.int64()), ("size", pa.int64()))}
-        return pa.table({"star": pa.array(np.minimum(i, j), pa.int64()), "member": pa.array(np.maximum(i, j), pa.int64()), **same})
-
-    pairs = tiled.groupBy("band", "key", "p", "q").applyInArrow(agree, "star long, member long, band int, key long, size long")
-    return pairs.groupBy("star", "member").agg(F.min(F.struct("band", "key", "size")).alias("s")).select("star", "member", "s.*")
+        columns = np.ascontiguousarray(bits[right].T)
+        stars, found = [], []
+        for i in left:
+            apart = root[right] != root[i]
+            if not apart.any():
+                continue
+            equal = np.zeros(len(right), np.uint8)
+            for own, column in zip(bits[i], columns):
+                equal += column == own
+            near = right[(equal >= AGREE) & apart & ((right > i) if p == q else True)]
+            if not len(near):
+                continue
+            mine = slice(first[i], first[i + 1])
+            held[shingle[mine]] = weight[mine]
+            starts = np.append(0, np.cumsum(size[near])[:-1])
+            rows = np.repeat(first[near] - starts, size[near]) + np.arange(size[near].sum())
+            shared = np.add.reduceat(np.minimum(weight[rows], held[shingle[rows]]), starts, dtype=np.float64)
+            held[shingle[mine]] = 0
+            for j in near[shared / (sums[i] + sums[near] - shared) >= threshold]:
+                if root[i] != root[j]:
+                    root[root == root[j]] = root[i]
+                    stars.append(ids[i])
+                    found.append(ids[j])
+        return pa.table({"star": pa.array(stars, pa.int64()), "member": pa.array(found, pa.int64())})
+
+    return tiled.groupBy("set", "p", "q").applyInArrow(compare, "star long, member long")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
