@@ -42,6 +42,36 @@ def bounds(rings: Column) -> Column:
     return _bbox(points(rings))
 
 
+def _jumps(edge_array: Column) -> Column:
+    """Whether an edge goes the short way around the antimeridian; one of a whole turn goes around the globe."""
+    return F.exists(edge_array, lambda e: (F.abs(e["x2"] - e["x1"]) > 180.0) & (F.abs(e["x2"] - e["x1"]) < 360.0))
+
+
+def across(rings: Column) -> Column:
+    """Whether a shape goes across the antimeridian: an edge jumps there, or parts are cut at both sides of it."""
+    all_edges = edges(rings)
+    cut = F.exists(all_edges, lambda e: e["x1"] == 180.0) & F.exists(all_edges, lambda e: e["x1"] == -180.0)
+    around = F.exists(all_edges, lambda e: F.abs(e["x2"] - e["x1"]) > 180.0)
+    # A planar box tells most shapes apart without a look at their edges.
+    box = bounds(rings)
+    return F.coalesce(F.when(box["maxx"] - box["minx"] > 180.0, _jumps(all_edges) | (cut & ~around)), F.lit(False))
+
+
+def unwrapped(rings: Column) -> Column:
+    """A shape across the antimeridian in longitudes that run on: western vertices move a turn east, but for parts that lie across longitude 0."""
+
+    def stays(g):
+        xs = F.transform(g["pts"], lambda p: p["x"])
+        return (F.array_min(xs) < 0) & (F.array_max(xs) > 0) & ~_jumps(edges(F.array(g)))
+
+    def moved(g):
+        kept = F.exists(rings, lambda h: (h["part"] == g["part"]) & stays(h))
+        pts = F.transform(g["pts"], lambda p: F.struct(F.when((p["x"] < 0) & ~kept, p["x"] + 360.0).otherwise(p["x"]).alias("x"), p["y"].alias("y")))
+        return F.struct(g["part"].alias("part"), g["hole"].alias("hole"), pts.alias("pts"))
+
+    return F.transform(rings, moved)
+
+
 def ring_bbox(rings: Column) -> Column:
     """Bounding box of the exterior ring of the first part only."""
     return _bbox(F.get(F.filter(rings, lambda g: (g["part"] == 0) & ~g["hole"]), F.lit(0))["pts"])
@@ -71,7 +101,7 @@ def valid_type(geom_type: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """Shortest decimal text that reads back as the same number, without exponent and without trailing zeros."""
+    """Decimal text of a number as Spark casts it, with an exponent written out in digits and without trailing zeros; it reads back as the same number."""
     text = x.cast("string")
     # Casting writes an exponent below 1e-3 and from 1e7 on; such numbers are written out digit by digit.
     sign, mantissa, power = (F.regexp_extract(text, r"^(-?)([0-9.]+)E(-?[0-9]+)$", i) for i in (1, 2, 3))

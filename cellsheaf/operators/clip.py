@@ -18,7 +18,8 @@ from cellsheaf.aoi import Aoi
 from cellsheaf.aoi import column as aoi_column
 from cellsheaf.functions import projections, rings
 from cellsheaf.operators.cells import centre_x, centre_y, with_grid
-from cellsheaf.operators.spatial import bbox_overlap, pair_by_bbox
+from cellsheaf.operators.pairing import overlap as bbox_overlap
+from cellsheaf.operators.pairing import pair_by_bbox
 
 # Keeps the generated method under the 8000 bytecodes the JIT compiles (measured: 7700 at the limit).
 INLINE_TESTS = 28

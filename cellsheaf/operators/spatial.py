@@ -1,26 +1,15 @@
 """Which scenes, rasters and areas of interest meet each other."""
 
-from collections.abc import Callable
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsheaf.aoi import Aoi
-from cellsheaf.aoi import column as aoi_column
 from cellsheaf.aoi import frame as aoi_frame
 from cellsheaf.functions import rings
-
-# Cell sizes in degrees. A box belongs to the first size at which it covers few cells; the last
-# size takes the rest, since the globe has only 18 cells of it.
-LEVELS = (1.0, 8.0, 64.0)
-FEW_CELLS = 16
-
-
-def bbox_overlap(a, b):
-    return (
-        (a["minx"] <= b["maxx"]) & (a["maxx"] >= b["minx"]) & (a["miny"] <= b["maxy"]) & (a["maxy"] >= b["miny"])
-    )
-
+from cellsheaf.functions.outlines import Outlines, Pairs
+from cellsheaf.operators import pairing
 
 def bbox_intersects(df: DataFrame, west: float, south: float, east: float, north: float, bbox: str = "bbox"):
     """Four plain comparisons on bbox fields, which reach the parquet scan."""
@@ -28,174 +17,98 @@ def bbox_intersects(df: DataFrame, west: float, south: float, east: float, north
     return df.where((b["minx"] <= east) & (b["maxx"] >= west) & (b["miny"] <= north) & (b["maxy"] >= south))
 
 
-def _cells(bbox, size: float):
-    lo = {k: F.floor(bbox[k] / F.lit(size)) for k in ("minx", "miny", "maxx", "maxy")}
-    return F.flatten(
-        F.transform(
-            F.sequence(lo["minx"], lo["maxx"]),
-            lambda cx: F.transform(
-                F.sequence(lo["miny"], lo["maxy"]),
-                lambda cy: F.struct(F.lit(size).alias("size"), cx.alias("cx"), cy.alias("cy")),
-            ),
-        )
-    )
-
-
-def ordered(bbox):
-    """Whether a box has its lower left corner below and left of the upper right one; one across the antimeridian has not."""
-    return F.coalesce((bbox["minx"] <= bbox["maxx"]) & (bbox["miny"] <= bbox["maxy"]), F.lit(False))
-
-
 def rejected(df: DataFrame, key: str) -> DataFrame:
-    """Rows (key, error) whose box is not `ordered`; pairing leaves them out, so a request reports them from here."""
+    """Rows (key, error) whose box cannot be placed; one across the antimeridian can. Pairing leaves them out, so a request reports them from here."""
     box = F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))
-    text = F.lit("bounding box is absent, inverted or across the antimeridian")
-    return df.where(~ordered(box)).select(key, text.alias("error"))
-
-
-def _level(bbox):
-    def count(size):
-        across = F.floor(bbox["maxx"] / size) - F.floor(bbox["minx"] / size) + 1
-        return across * (F.floor(bbox["maxy"] / size) - F.floor(bbox["miny"] / size) + 1)
-
-    own = F.lit(LEVELS[-1])
-    for size in reversed(LEVELS[:-1]):
-        own = F.when(count(size) <= FEW_CELLS, F.lit(size)).otherwise(own)
-    return own
-
-
-def _keyed(boxes: DataFrame, side: str, finest: Callable, coarsest: Callable) -> DataFrame:
-    """Rows of (id, bbox) for each cell of the levels from finest to coarsest, both given the box's own level."""
-    keys = [
-        F.when((finest(F.col("_own"), size)) & (coarsest(F.col("_own"), size)), _cells(F.col("bbox"), size)).otherwise(F.array())
-        for size in LEVELS
-    ]
-    out = boxes.withColumn("_own", _level(F.col("bbox"))).withColumn("_key", F.explode(F.concat(*keys)))
-    return out.select(F.col("id").alias(f"{side}_id"), F.col("bbox").alias(f"{side}_bbox"), "_key.*")
-
-
-def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(l_id, l_bbox, r_id, r_bbox, size, cx, cy): boxes that lie in one cell of the coarser of their two levels.
-
-    Two equi-joins: left boxes at their own level meet right ones of that or a finer level, and right boxes at
-    their own level meet left ones of a finer level. So no pair meets at a level that is neither's.
-    """
-    own = lambda level, size: level == size
-    on = ["size", "cx", "cy"]
-    l, r = (df.select("id", "bbox").where(ordered(F.col("bbox"))) for df in (left, right))
-    # Spark does not count the cells when it estimates a side, so it is told to shuffle and sort.
-    at_left = _keyed(l, "l", own, own).join(
-        _keyed(r, "r", lambda level, size: level <= size, lambda level, size: F.lit(True)).hint("merge"), on
-    )
-    at_right = _keyed(l, "l", lambda level, size: level < size, lambda level, size: F.lit(True)).join(
-        _keyed(r, "r", own, own).hint("merge"), on
-    )
-    return at_left.unionByName(at_right)
-
-
-def pair_by_bbox(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All pairs with overlapping boxes; every input needs a unique `id` and a lon/lat `bbox`.
-
-    A pair is kept in the one cell that holds the lower left corner of its overlap, which makes a
-    distinct needless. Only ids and boxes go through the pairing; the other columns are
-    attached to the pairs that are left. Crowded cells and ids are split by AQE. A box
-    that is not `ordered` meets nothing here: callers report it.
-    """
-    lb, rb = F.col("l_bbox"), F.col("r_bbox")
-    met = (
-        candidates(left, right)
-        .where(bbox_overlap(lb, rb))
-        .where(F.floor(F.greatest(lb["minx"], rb["minx"]) / F.col("size")) == F.col("cx"))
-        .where(F.floor(F.greatest(lb["miny"], rb["miny"]) / F.col("size")) == F.col("cy"))
-        .drop("size", "cx", "cy")
-    )
-    for side, df in (("l", left), ("r", right)):
-        rest = [c for c in df.columns if c not in ("id", "bbox")]
-        if rest:
-            met = met.join(df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in rest]), f"{side}_id")
-    return met.select(*[f"l_{c}" for c in left.columns], *[f"r_{c}" for c in right.columns])
+    text = F.lit("bounding box is absent, not finite or upside down")
+    upright = F.struct(F.least(box["minx"], box["maxx"]).alias("minx"), box["miny"], F.greatest(box["minx"], box["maxx"]).alias("maxx"), box["maxy"])
+    return df.where(box.isNull() | ~pairing.ordered(upright)).select(key, text.alias("error"))
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
-    """Id, box, rings and edges. A catalogue's own `bbox` struct is used as it is, so that box filters push down."""
-    box = F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))
-    return df.select(
-        F.col(key).alias("id"), box.alias("bbox"), F.col("rings"), rings.edges(F.col("rings")).alias("edges")
-    )
-
-
-def _with_near_edges(pairs: DataFrame) -> DataFrame:
-    """Add `near` (l, r): the edges that come near the other shape.
-
-    Exploding the single value keeps the exact tests behind it out of the join condition,
-    where they would run for every candidate and not just for overlapping boxes.
-    """
-    l_near = rings.edges_in_box(F.col("l_edges"), F.col("r_bbox"))
-    r_near = rings.edges_in_box(F.col("r_edges"), F.col("l_bbox"))
-    return pairs.withColumn("near", F.explode(F.array(F.struct(l_near.alias("l"), r_near.alias("r")))))
+    """Id, box and rings, in longitudes that run on beyond 180 degrees where a shape goes across the antimeridian."""
+    shape = df.select(F.col(key).alias("id"), (F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))).alias("bbox"), "rings")
+    across = F.coalesce(F.col("bbox")["minx"] > F.col("bbox")["maxx"], F.lit(False)) | rings.across(F.col("rings"))
+    # Exploding single values keeps what is computed once from being written out again wherever it is used.
+    shape = shape.withColumn("across", F.explode(F.array(across)))
+    shape = shape.withColumn("rings", F.explode(F.array(F.when(F.col("across"), rings.unwrapped(F.col("rings"))).otherwise(F.col("rings")))))
+    box = F.when(F.col("across"), rings.bounds(F.col("rings"))).otherwise(F.col("bbox"))
+    return shape.select("id", box.alias("bbox"), "rings")
 
 
-def _shapes_meet():
-    """Exact test of a pair, cheapest and most often decisive part first."""
+#: Sub-keys that an area's scenes are dealt to, so that an area that owns a third of all pairs does not land in one task.
+COPIES = 32
 
-    def starts_inside(ring_array, edge_array):
-        return F.exists(rings.outer_starts(ring_array), lambda p: rings.point_inside(p["x"], p["y"], edge_array))
 
-    return (
-        (starts_inside(F.col("l_rings"), F.col("r_edges")) & F.col("near").isNotNull())
-        | rings.edges_meet(F.col("near.l"), F.col("near.r"))
-        | starts_inside(F.col("r_rings"), F.col("l_edges"))
-    )
+def _exact(pairs: DataFrame, areas: DataFrame, contained: bool) -> DataFrame:
+    """Pairs (scene_id, aoi_id, contained) that really meet, of pairs (l_id, l_bbox, l_rings, r_id, r_bbox) of boxes.
 
-
-def _footprint_inside():
-    """The right area covers the whole left footprint."""
-    le, re, near = F.col("l_edges"), F.col("r_edges"), F.col("near.r")
-
-    def covered(x, y):
-        return rings.point_inside(x, y, re) | rings.point_on_edge(x, y, re)
-
-    def strictly_in_footprint(x, y):
-        return rings.point_inside(x, y, le) & ~rings.point_on_edge(x, y, le)
-
-    def middle(e):
-        return (e["x1"] + e["x2"]) / F.lit(2.0), (e["y1"] + e["y2"]) / F.lit(2.0)
-
-    inside = F.forall(le, lambda e: covered(e["x1"], e["y1"]) & covered(*middle(e)))
-    pierced = F.exists(near, lambda e: strictly_in_footprint(e["x1"], e["y1"]) | strictly_in_footprint(*middle(e)))
-    return inside & ~rings.edges_cross(le, near) & ~pierced
-
-
-def _pairs(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
-    left = _prepared(scenes, "scene_id")
-    if isinstance(aois, DataFrame):
-        return pair_by_bbox(left, _prepared(aois, "aoi_id"))
-    # A few given areas ride along as a constant: no join, and their boxes filter first.
-    aois = [a for a in aois if a.rings]
-    if not aois:
-        return _pairs(scenes, aoi_frame(scenes.sparkSession, []))
-    west, south, east, north = (f(v) for f, v in zip((min, min, max, max), zip(*[a.bounds for a in aois])))
-    near = bbox_intersects(left, west, south, east, north)
-    area = near.withColumn("_a", F.explode(aoi_column(aois)))
-    area = area.select(
-        *[F.col(c).alias(f"l_{c}") for c in left.columns],
-        F.col("_a.aoi_id").alias("r_id"),
-        F.col("_a.rings").alias("r_rings"),
-        rings.bounds(F.col("_a.rings")).alias("r_bbox"),
-        rings.edges(F.col("_a.rings")).alias("r_edges"),
-    )
-    return area.where(bbox_overlap(F.col("l_bbox"), F.col("r_bbox")))
+    An area's outline comes once before its pairs, not with each of them, and is prepared once there.
+    """
+    kinds = dict(pairs.dtypes)
+    tested = pairs.select(
+        F.col("r_id"), F.pmod(F.xxhash64("l_id"), F.lit(COPIES)).alias("sub"), F.lit(1).alias("kind"), F.col("l_id"), F.col("l_rings").alias("rings"),
+        F.array(*[pairing.overlap(F.col("l_bbox"), F.col("r_bbox"), t * pairing.TURN) for t in (-1.0, 0.0, 1.0)]).alias("turns"),
+    )
+    outline = areas.select(
+        F.col("id").alias("r_id"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(COPIES - 1).cast("long"))).alias("sub"), F.lit(0).alias("kind"),
+        F.lit(None).cast(kinds["l_id"]).alias("l_id"), "rings", F.array(F.lit(False)).alias("turns"),
+    )
+    dealt = outline.unionByName(tested).repartition("r_id", "sub").sortWithinPartitions("r_id", "sub", "kind")
+
+    def test(batches):
+        area = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if area is not None:
+                rows = pa.concat_tables([area, rows])
+            rows = rows.combine_chunks()
+            kind = rows.column("kind").to_numpy()
+            latest = np.maximum.accumulate(np.where(kind == 0, np.arange(len(kind)), -1))
+            i = np.flatnonzero(kind == 1)
+            area = rows.slice(int(latest[-1]), 1)
+            shapes = Outlines(rows.column("rings"))
+            asked = np.array(rows.column("turns").take(pa.array(i)).to_pylist(), bool).reshape(-1, 3)
+            met, inside = np.zeros(len(i), bool), np.zeros(len(i), bool)
+            for k, turn in enumerate((-pairing.TURN, 0.0, pairing.TURN)):
+                own = np.flatnonzero(asked[:, k])
+                pair = Pairs(shapes, i[own], shapes, latest[i[own]], np.full(len(own), turn))
+                hit = pair.meet()
+                met[own[hit]] = True
+                if contained:
+                    own = own[hit]
+                    inside[own[Pairs(shapes, i[own], shapes, latest[i[own]], np.full(len(own), turn)).covered()]] = True
+            keep = pa.array(i[met])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("l_id").take(keep).combine_chunks(), rows.column("r_id").take(keep).combine_chunks(), pa.array(inside[met])], names=["scene_id", "aoi_id", "contained"]
+            )
+
+    return dealt.mapInArrow(test, f"scene_id {kinds['l_id']}, aoi_id {kinds['r_id']}, contained boolean")
+
+
+def _meeting(scenes: DataFrame, aois: "DataFrame | list[Aoi]", contained: bool) -> DataFrame:
+    if not isinstance(aois, DataFrame):
+        # Heights of the few given areas reach the scan; longitudes may run on beyond 180 degrees.
+        given = [a for a in aois if a.rings]
+        if given:
+            south, north = min(a.bounds[1] for a in given), max(a.bounds[3] for a in given)
+            west, east = min(a.bounds[0] for a in given), max(a.bounds[2] for a in given)
+            box = F.col("bbox") if "bbox" in scenes.columns else rings.bounds(F.col("rings"))
+            beside = (box["minx"] <= east) & (box["maxx"] >= west)
+            around = (box["minx"] > box["maxx"]) | (box["maxx"] > 180.0) | (box["maxx"] - box["minx"] > 180.0)
+            scenes = scenes.where((box["miny"] <= north) & (box["maxy"] >= south))
+            scenes = scenes if west <= -180.0 or east >= 180.0 else scenes.where(beside | around)
+        aois = aoi_frame(scenes.sparkSession, given)
+    left, right = _prepared(scenes, "scene_id"), _prepared(aois, "aoi_id")
+    pairs = pairing.pair_by_bbox(left, right.select("id", "bbox"))
+    return _exact(pairs, right.where(F.col("rings").isNotNull()), contained)
 
 
 def intersects(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
-    """Pairs (scene_id, aoi_id) whose polygons share at least one point."""
-    pairs = _with_near_edges(_pairs(scenes, aois)).where(_shapes_meet())
-    return pairs.select(F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"))
+    """Pairs (scene_id, aoi_id) whose polygons share at least one point, also across the antimeridian; each pair once."""
+    return _meeting(scenes, aois, False).select("scene_id", "aoi_id")
 
 
 def contained_footprints(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
     """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped."""
-    pairs = _with_near_edges(_pairs(scenes, aois)).where(_shapes_meet())
-    return pairs.select(
-        F.col("l_id").alias("scene_id"), F.col("r_id").alias("aoi_id"), _footprint_inside().alias("contained")
-    )
+    return _meeting(scenes, aois, True)

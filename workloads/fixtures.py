@@ -168,6 +168,18 @@ SELECT concat('s', cast(s_suppkey AS string)) AS aoi_id, s_suppkey % 6 AS kind,
 FROM {supplier}""",
 }
 
+# Around the antimeridian, in fractions that all sums are exact for.
+VIEWS |= {
+    "fx_scene_180": """
+SELECT o_orderkey AS scene_id, 165e0 + (o_custkey * 7919 % 1920) / 64e0 AS minx, 25e0 + (o_orderkey * 104729 % 1600) / 64e0 AS miny
+FROM {orders}""",
+    "fx_area_180": """
+SELECT concat('s', cast(s_suppkey AS string)) AS aoi_id, s_suppkey % 4 AS kind,
+       165e0 + (s_suppkey * 7919 % 1920) / 64e0 AS cx, 26e0 + (s_suppkey * 104729 % 1472) / 64e0 AS cy,
+       CASE WHEN s_suppkey % 10 = 0 THEN 1e0 ELSE 625e-4 END AS s
+FROM {supplier}""",
+}
+
 # Views only the oracle needs: vertices and edges as rows.
 ORACLE_VIEWS = {
     "outline": f"SELECT * FROM (VALUES {_OUTLINE_ROWS}) AS o(kind, part, hole, seq, ux, uy)",
@@ -200,6 +212,17 @@ SELECT a.scene_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
 FROM {scene_pt} a JOIN {scene_pt} b ON a.scene_id = b.scene_id AND b.seq = a.seq + 1""",
 }
 
+ORACLE_VIEWS |= {
+    "scene_180_pt": """
+SELECT scene_id, k.seq, minx + k.ax AS x, miny + k.ay AS y
+FROM {fx_scene_180} CROSS JOIN (VALUES (0,0e0,0e0),(1,175e-2,25e-2),(2,2e0,2e0),(3,25e-2,175e-2),(4,0e0,0e0)) AS k(seq, ax, ay)""",
+    "scene_180_edge": ORACLE_VIEWS["scene_edge"].replace("scene_pt", "scene_180_pt"),
+    "area_180_pt": """
+SELECT a.aoi_id, a.kind, o.part, o.hole, o.seq, a.cx + a.s * o.ux AS x, a.cy + a.s * o.uy AS y FROM {fx_area_180} a JOIN {outline} o ON o.kind = a.kind""",
+    "area_180_edge": ORACLE_VIEWS["supplier_edge"].replace("supplier_pt", "area_180_pt"),
+    "area_180_box": ORACLE_VIEWS["supplier_box"].replace("supplier_pt", "area_180_pt"),
+}
+
 
 def _needs(text: str) -> list[str]:
     names = [*TABLES, *VIEWS, *ORACLE_VIEWS]
@@ -316,3 +339,25 @@ def scenes(spark: SparkSession, sf: str) -> DataFrame:
         )
         .withColumn("assets", assets)
     )
+
+
+def _within_180(x):
+    return F.when(x > 180.0, x - 360.0).otherwise(x)
+
+
+def _wrapped(rings_column):
+    """Rings with longitudes between -180 and 180, so that edges jump where a shape goes across."""
+    point = lambda p: F.struct(_within_180(p["x"]).alias("x"), p["y"].alias("y"))
+    return F.transform(rings_column, lambda g: F.struct(g["part"].alias("part"), g["hole"].alias("hole"), F.transform(g["pts"], point).alias("pts")))
+
+
+def areas_180(spark, sf):
+    return area_frame(view(spark, sf, "fx_area_180")).withColumn("rings", _wrapped(F.col("rings")))
+
+
+def scenes_180(spark, sf):
+    corners = [(0.0, 0.0), (1.75, 0.25), (2.0, 2.0), (0.25, 1.75), (0.0, 0.0)]
+    pts = F.array(*[F.struct((F.col("minx") + a).alias("x"), (F.col("miny") + b).alias("y")) for a, b in corners])
+    ring = F.array(F.struct(F.lit(0).alias("part"), F.lit(False).alias("hole"), pts.alias("pts")))
+    box = F.struct(_within_180(F.col("minx")).alias("minx"), F.col("miny"), _within_180(F.col("minx") + 2.0).alias("maxx"), (F.col("miny") + 2.0).alias("maxy"))
+    return view(spark, sf, "fx_scene_180").select("scene_id", _wrapped(ring).alias("rings"), box.alias("bbox"))
