@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 # Leading bytes (hex) of the file kinds that are told apart.
 SIGNATURES = {"zip": "504B0304", "netcdf3": "434446", "hdf5": "89484446"}
-RASTER_SIGNATURES = {"tiff_le": "49492A00", "tiff_be": "4D4D002A", "parquet": "50415231"}
+RASTER_SIGNATURES = {"tiff_le": "49492A00", "tiff_be": "4D4D002A", "bigtiff_le": "49492B00", "bigtiff_be": "4D4D002B", "parquet": "50415231"}
+# Fixed value: the end record of a ZIP archive.
+ZIP_END = "504B0506"
+_TIFF = ("tiff_le", "tiff_be", "bigtiff_le", "bigtiff_be")
+#: The kinds that a file of an extension may be of.
+EXTENSIONS = {"tif": _TIFF, "tiff": _TIFF, "parquet": ("parquet",), "zip": ("zip",), "nc": ("netcdf3", "hdf5"), "h5": ("hdf5",)}
 
 
 def file_kind(head: Column) -> Column:
@@ -33,17 +38,39 @@ def classify_files(inventory: DataFrame) -> DataFrame:
     return inventory.withColumn("kind", kind).withColumn("error", F.when(F.col("kind") == "unexpected", text))
 
 
-def readable(head: Column, signatures: dict[str, str] | None = None) -> Column:
-    known = {**SIGNATURES, **RASTER_SIGNATURES} if signatures is None else signatures
-    ok = F.lit(False)
-    for magic in known.values():
-        ok = ok | F.startswith(F.hex(head), F.lit(magic))
-    return F.coalesce(ok, F.lit(False))
+def readable(path: Column, head: Column, tail: Column | None = None) -> Column:
+    """Whether a file can be of the kind its name promises: that kind's signature in front and, if the tail is given, its end mark behind.
+
+    A name without a known extension promises any kind that is told apart. An absent file is not readable.
+    """
+    front = F.hex(head)
+    starts = {name: F.startswith(front, F.lit(magic)) for name, magic in {**SIGNATURES, **RASTER_SIGNATURES}.items()}
+    if tail is not None:
+        back = F.hex(tail)
+        starts["parquet"] &= F.endswith(back, F.lit(RASTER_SIGNATURES["parquet"])) & (F.length(tail) > 8)
+        # Archives are written without a comment, so the end record is the tail.
+        starts["zip"] &= F.startswith(back, F.lit(ZIP_END))
+    extension = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
+    any_kind = F.lit(False)
+    for ok in starts.values():
+        any_kind = any_kind | ok
+    told = any_kind
+    for name, kinds in EXTENSIONS.items():
+        own = F.lit(False)
+        for kind in kinds:
+            own = own | starts[kind]
+        told = F.when(extension == name, own).otherwise(told)
+    return F.coalesce(told, F.lit(False))
 
 
 def validate_outputs(expected: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Every expected path with `valid`: listed, not empty and of a known kind. Missing means false."""
-    seen = inventory.select("path", ((F.col("length") > 0) & readable(F.col("head"))).alias("_ok"))
+    """Every expected path with `valid`: listed, not empty and of the kind its name promises. Missing means false.
+
+    An inventory whose rows are already judged says so in a column `readable`.
+    """
+    columns = inventory.columns
+    told = F.col("readable") if "readable" in columns else readable(F.col("path"), F.col("head"), F.col("tail") if "tail" in columns else None)
+    seen = inventory.select("path", ((F.col("length") > 0) & told).alias("_ok"))
     return expected.join(seen, "path", "left").withColumn("valid", F.coalesce("_ok", F.lit(False))).drop("_ok")
 
 

@@ -110,5 +110,8 @@ def intersects(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
 
 
 def contained_footprints(scenes: DataFrame, aois: "DataFrame | list[Aoi]") -> DataFrame:
-    """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped."""
+    """Intersecting pairs with `contained`: the area covers the whole footprint, so clipping can be skipped.
+
+    An area that is cut at 180 degrees keeps its seam as an outline: a footprint across the seam counts as not contained and is clipped.
+    """
     return _meeting(scenes, aois, True)

@@ -84,17 +84,18 @@ def report(
 
 
 def written(spark: SparkSession, root: str, source: str, aoi: Aoi) -> DataFrame:
-    """Outputs of a source and area below a folder, with what fetch() needs to trust them: var, slot, path, length, head.
+    """Outputs of a source and area below a folder, with what fetch() needs to trust them: var, slot, path, length, readable.
 
-    An output counts as one file: the length is the sum over its part files, the head that of the first one that is not
-    a readable table file, or else of the first.
+    An output counts as one file: the length is the sum over its part files, and it is readable if all of them are
+    whole table files by their first and last bytes.
     """
-    held = files_source.with_head(files_source.list_files(spark, root, "*.parquet"))
     part = lambda key: F.url_decode(F.regexp_extract("path", f"/{key}=([^/]+)/", 1))
-    own = held.where((part("source") == source) & (part("aoi_id") == aoi.aoi_id))
-    rows = own.select(part("var").alias("var"), part("slot").cast("timestamp_ntz").alias("slot"), "length", "head", "path")
-    first = F.struct(files.readable(F.col("head")), F.col("path"), F.col("head"))
-    out = rows.groupBy("var", "slot").agg(F.sum("length").alias("length"), F.min(first)["head"].alias("head"))
+    # The listing is cut to the area's own files before any of them is opened.
+    own = files_source.list_files(spark, root, "*.parquet").where((part("source") == source) & (part("aoi_id") == aoi.aoi_id))
+    held = files_source.with_ends(own)
+    told = files.readable(F.col("path"), F.col("head"), F.col("tail")).alias("readable")
+    rows = held.select(part("var").alias("var"), part("slot").cast("timestamp_ntz").alias("slot"), "length", told)
+    out = rows.groupBy("var", "slot").agg(F.sum("length").alias("length"), F.bool_and("readable").alias("readable"))
     name = F.concat(F.lit(f"{aoi.aoi_id}/"), slots.output_path(source, F.col("slot"), F.col("var")))
     return out.withColumn("path", name)
 
@@ -112,7 +113,7 @@ def fetch(
     new = outputs(source, cells, grids, aoi, start, end, lonlat)
     exists = files_source.has_files(spark, root)
     if exists:
-        held = written(spark, root, source, aoi).where((F.col("length") > spec.least_bytes) & files.readable(F.col("head")))
+        held = written(spark, root, source, aoi).where((F.col("length") > spec.least_bytes) & F.col("readable"))
         new = new.join(F.broadcast(held.select("var", "slot")), ["var", "slot"], "left_anti")
     if not aoi.error:
         tables.overwrite_slot(new, root)

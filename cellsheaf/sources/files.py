@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEAD_BYTES = 200
+#: The end of a ZIP archive without a comment; shorter marks of other kinds lie in it.
+TAIL_BYTES = 22
+#: What pyarrow calls the stores that Hadoop names so.
+SCHEMES = {"hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -33,46 +37,46 @@ def has_files(spark: SparkSession, root: str) -> bool:
     return system.exists(path) and len(system.listStatus(path)) > 0
 
 
-def with_head(inventory: DataFrame, n: int = HEAD_BYTES) -> DataFrame:
-    """Add the first n bytes of each file; NULL for a file that is gone by now.
+def _opened(path: str):
+    """File system and place of a path as Hadoop writes it."""
+    from pyarrow import fs
 
-    Files whose scheme the Python side can open are read by the tasks, n bytes each. Those of any other scheme go
-    through Spark's own reader, which loads them whole one at a time in its tasks. Anything but an absent
-    file raises.
+    # Folder names may hold spaces and percent signs, which are no part of a URI here.
+    scheme, authority, place = re.match(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(/.*)", path).groups()
+    if scheme in (None, "file"):
+        return fs.LocalFileSystem(), place
+    if scheme not in SCHEMES:
+        raise ValueError(f"no range reads of {scheme}: files; known are file, {', '.join(sorted(SCHEMES))}")
+    system, base = fs.FileSystem.from_uri(f"{SCHEMES[scheme]}://{authority}/")
+    return system, base.rstrip("/") + place
+
+
+def with_ends(inventory: DataFrame, n: int = HEAD_BYTES, last: int = TAIL_BYTES) -> DataFrame:
+    """Add `head`, the first n bytes of each file, and `tail`, the last ones; NULL for a file that is gone by now.
+
+    Tasks read these ranges and nothing else, whatever a file's size and store; the driver sees no path. Anything but an
+    absent file raises, and so does a store that ranges cannot be read from.
     """
-    # file, hdfs and s3 are what pyarrow opens as they are written by Hadoop.
-    scheme = F.regexp_extract("path", r"^([A-Za-z][A-Za-z0-9+.-]*):/", 1)
-    plain = inventory.where(scheme.isin("", "file", "hdfs", "s3"))
-    other = inventory.where(~scheme.isin("", "file", "hdfs", "s3"))
 
-    def heads(batches):
+    def ends(batches):
         import pandas as pd
-        from pyarrow import fs
 
         for pdf in batches:
-            out = []
+            heads, tails = [], []
             for path in pdf["path"]:
-                # Folder names may hold spaces and percent signs, which are no part of a URI here.
-                scheme, authority, place = re.match(r"(?:([A-Za-z0-9+.-]+):)?(?://([^/]*))?(/.*)", path).groups()
-                if scheme in (None, "file"):
-                    system = fs.LocalFileSystem()
-                else:
-                    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-                    place = base.rstrip("/") + place
+                system, place = _opened(path)
                 try:
-                    with system.open_input_stream(place, compression=None) as f:
-                        out.append(f.read(n))
+                    with system.open_input_file(place) as f:
+                        size = f.size()
+                        heads.append(f.read_at(min(n, size), 0))
+                        tails.append(f.read_at(min(last, size), max(0, size - last)))
                 except FileNotFoundError:
-                    out.append(None)
-            yield pdf.assign(head=pd.Series(out, index=pdf.index, dtype=object))
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inventory.schema) + ", head binary"
-    read = plain.mapInPandas(heads, schema)
-    roots = [r["root"] for r in other.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("root")).distinct().collect()]
-    if not roots:
-        return read
-    content = inventory.sparkSession.read.format("binaryFile").load(roots).select("path", F.substring("content", 1, n).alias("head"))
-    return read.unionByName(other.join(content, "path", "left"))
+                    heads.append(None)
+                    tails.append(None)
+            yield pdf.assign(head=pd.Series(heads, index=pdf.index, dtype=object), tail=pd.Series(tails, index=pdf.index, dtype=object))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inventory.schema) + ", head binary, tail binary"
+    return inventory.mapInPandas(ends, schema)
 
 
 def file_name(inventory: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def _requests(spark, sf):
     "p3_validate_outputs",
     f"""
 WITH e AS ({_EXPECTED})
-SELECT scene_id, asset_key, coalesce(f.length > 0 AND left(head_hex, 8) IN ('504B0304','43444601','89484446','49492A00','4D4D002A'), false) AS valid
+SELECT scene_id, asset_key, coalesce(f.length > 0 AND left(head_hex, 8) IN ('49492A00','4D4D002A'), false) AS valid
 FROM e LEFT JOIN {{fx_file}} f USING (path)""",
 )
 def validate_outputs(spark, sf):
@@ -59,12 +59,12 @@ SELECT DISTINCT concat('aoi_id=A1/var=', band, '/slot=', strftime(t, '%Y-%m')) A
 UNION ALL SELECT 'absent', false, NULL, NULL FROM {fx_meta_hi}""",
 )
 def validate_written_files(spark, sf):
-    """Real files: written, listed, their heads read by tasks, told apart and validated; one path that is not there."""
+    """Real files: written, listed, their ends read by tasks, told apart and validated; one path that is not there."""
     path = shared_folder(spark)
     slot = F.date_format("t", "yyyy-MM")
     out = view(spark, sf, "fx_grid_hi").select(F.lit("A1").alias("aoi_id"), F.col("band").alias("var"), slot.alias("slot"), "r", "c", "v")
     tables.write_raster(out, path, ("aoi_id", "var", "slot"))
-    heads = file_source.with_head(file_source.list_files(spark, path, "*.parquet"))
+    heads = file_source.with_ends(file_source.list_files(spark, path, "*.parquet"))
     told = files.classify_files(heads).withColumn("folder", F.regexp_extract("path", r"(aoi_id=.*)/[^/]*$", 1))
     expected = told.select("folder", "path").unionByName(view(spark, sf, "fx_meta_hi").select(F.lit("absent").alias("folder"), F.lit("absent").alias("path")))
     checked = files.validate_outputs(expected, heads).join(told.select("path", "kind", "error"), "path", "left")
@@ -72,6 +72,25 @@ def validate_written_files(spark, sf):
     return checked.groupBy("folder").agg(F.bool_and("valid").alias("valid"), F.max("kind").alias("kind"), F.max(header).alias("header"))
 
 
+@case(
+    "p3_validate_cut_files",
+    """
+SELECT strftime(t, '%Y-%m') AS slot, year(any_value(t)) % 2 = 1 AS valid, count(*) AS pixels FROM {fx_grid_hi} GROUP BY ALL""",
+)
+def validate_cut_files(spark, sf):
+    """Table files of which those of even years lose their last bytes: only whole ones are valid. Pixels are counted before."""
+    path = shared_folder(spark)
+    rows = view(spark, sf, "fx_grid_hi").select(F.date_format("t", "yyyy-MM").alias("slot"), "r", "c", "v", "t")
+    rows.repartition("slot").write.partitionBy("slot").parquet(path)
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    slot = F.regexp_extract("path", "slot=([^/]+)/", 1)
+    shorter = F.when(F.substring(slot, 1, 4).cast("int") % 2 == 0, 3).otherwise(0)
+    told = content.withColumns({"slot": slot, "cut": shorter}).withColumns({"tail": F.expr("substring(left(content, length(content) - cut), -22, 22)"), "head": F.expr("left(content, 200)")})
+    checked = files.validate_outputs(told.select("path", "slot"), told.select("path", "length", "head", "tail"))
+    n = rows.groupBy("slot").agg(F.count("*").alias("pixels"))
+    return checked.groupBy("slot").agg(F.bool_and("valid").alias("valid")).join(n, "slot")
+
+
 @case(
     "p4_cache_plan",
     f"""
