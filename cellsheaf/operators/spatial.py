@@ -22,7 +22,7 @@ def rejected(df: DataFrame, key: str) -> DataFrame:
     box = F.col("bbox") if "bbox" in df.columns else rings.bounds(F.col("rings"))
     text = F.lit("bounding box is absent, not finite or upside down")
     upright = F.struct(F.least(box["minx"], box["maxx"]).alias("minx"), box["miny"], F.greatest(box["minx"], box["maxx"]).alias("maxx"), box["maxy"])
-    return df.where(box.isNull() | ~pairing.ordered(upright)).select(key, text.alias("error"))
+    return df.where((box["minx"] + box["maxx"]).isNull() | ~pairing.ordered(upright)).select(key, text.alias("error"))
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
