@@ -86,7 +86,18 @@ def _exact(pairs: DataFrame, areas: DataFrame, contained: bool) -> DataFrame:
     return dealt.mapInArrow(test, f"scene_id {kinds['l_id']}, aoi_id {kinds['r_id']}, contained boolean")
 
 
+def _beside_given(left: DataFrame, right: DataFrame) -> DataFrame:
+    """As pairing.pair_by_bbox() for the few areas that a request names: each scene's box is held against all of their boxes."""
+    l = left.select(F.col("id").alias("l_id"), F.explode(F.array("bbox")).alias("l_bbox"), F.col("rings").alias("l_rings"))
+    r = right.select(F.col("id").alias("r_id"), F.explode(F.array("bbox")).alias("r_bbox"))
+    lb, rb = F.col("l_bbox"), F.col("r_bbox")
+    around = F.greatest(lb["maxx"], rb["maxx"]) > 180.0
+    meet = pairing.overlap(lb, rb) | (around & (pairing.overlap(lb, rb, -pairing.TURN) | pairing.overlap(lb, rb, pairing.TURN)))
+    return l.where(pairing.ordered(lb)).join(F.broadcast(r.where(pairing.ordered(rb))), meet)
+
+
 def _meeting(scenes: DataFrame, aois: "DataFrame | list[Aoi]", contained: bool) -> DataFrame:
+    given = None
     if not isinstance(aois, DataFrame):
         # Heights of the few given areas reach the scan; longitudes may run on beyond 180 degrees.
         given = [a for a in aois if a.rings]
@@ -100,7 +111,7 @@ def _meeting(scenes: DataFrame, aois: "DataFrame | list[Aoi]", contained: bool)
             scenes = scenes if west <= -180.0 or east >= 180.0 else scenes.where(beside | around)
         aois = aoi_frame(scenes.sparkSession, given)
     left, right = _prepared(scenes, "scene_id"), _prepared(aois, "aoi_id")
-    pairs = pairing.pair_by_bbox(left, right.select("id", "bbox"))
+    pairs = pairing.pair_by_bbox(left, right.select("id", "bbox")) if given is None else _beside_given(left, right)
     return _exact(pairs, right.where(F.col("rings").isNotNull()), contained)
 
 
