@@ -41,9 +41,10 @@ def datacube_name(source: str, acquired: Column) -> Column:
     return F.concat(F.lit(prefix), instants.stamp(acquired))
 
 
-def fill_template(template: str, slot: Column, var: Column | None = None) -> Column:
-    """Replace {y}, {ym} and {var} in a name template by columns."""
-    values = {"{y}": instants.year_text(slot), "{ym}": instants.month_text(slot), "{var}": var}
+def fill_template(template: str, slot: Column | None = None, var: Column | None = None, **more: Column) -> Column:
+    """Replace {y}, {ym}, {var} and any further named key in a name template by columns."""
+    times = {} if slot is None else {"{y}": instants.year_text(slot), "{ym}": instants.month_text(slot)}
+    values = times | {"{var}": var} | {f"{{{k}}}": v for k, v in more.items()}
     pieces, rest = [], template
     while rest:
         at = min((rest.find(k) for k in values if k in rest), default=-1)

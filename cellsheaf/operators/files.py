@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellsheaf import registry
 
 # Leading bytes (hex) of the file kinds that are told apart.
 SIGNATURES = {"zip": "504B0304", "netcdf3": "434446", "hdf5": "89484446"}
@@ -83,6 +84,28 @@ def cache_plan(requests: DataFrame, inventory: DataFrame, min_bytes: int = 0) ->
     return requests.join(held, "path", "left").withColumn("cached", F.coalesce("_held", F.lit(False))).drop("_held")
 
 
+def reusable(source: Column, length: Column, opens: Column) -> Column:
+    """Whether a file that is there makes a fetch needless, by the rule its source is registered with: least size, and whether it must open."""
+    specs = registry.SOURCES.values()
+    least = F.create_map(*[F.lit(x) for s in specs for x in (s.key, s.least_bytes)])
+    opened = F.create_map(*[F.lit(x) for s in specs for x in (s.key, s.must_open)])
+    ok = (length > F.try_element_at(least, source)) & (~F.try_element_at(opened, source) | F.coalesce(opens, F.lit(False)))
+    return F.coalesce(ok, F.lit(False))
+
+
+def cache_plan_by_source(requests: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Requests (source, path, ...) with `cached`, each by its own source's rule. An unknown source holds nothing.
+
+    The inventory has path, length, head and perhaps tail. A path listed twice counts once: one listing that will do is enough.
+    """
+    tail = F.col("tail") if "tail" in inventory.columns else None
+    held = inventory.select("path", "length", readable(F.col("path"), F.col("head"), tail).alias("_opens"))
+    # Of repeated listings the one that opens, then the largest: it meets every rule that any of them meets, as a file has one content.
+    best = held.groupBy("path").agg(F.max(F.struct("_opens", "length")).alias("_f"))
+    out = requests.join(best, "path", "left")
+    return out.withColumn("cached", reusable(F.col("source"), F.col("_f")["length"], F.col("_f")["_opens"])).drop("_f")
+
+
 def to_fetch(requests: DataFrame, inventory: DataFrame, min_bytes: int = 0) -> DataFrame:
     return requests.join(inventory.where(F.col("length") > min_bytes), "path", "left_anti")
 

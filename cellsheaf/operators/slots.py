@@ -74,6 +74,17 @@ def plan_requests(slots: DataFrame, source: str, slot: str = "slot_start") -> Da
     return slots.withColumn("request", names.fill_template(registry.REQUEST_TEMPLATES[source], F.col(slot)))
 
 
+def plan_products(scenes: DataFrame, source: str = "sen3_cdse", product_id: str = "scene_id") -> DataFrame:
+    """Request of every product found: the name it is kept under and the address it comes from. A scene without name or id has neither."""
+    fill = {"name": F.col("name"), "id": F.col(product_id).cast("string")}
+    return scenes.withColumns(
+        {
+            "request": names.fill_template(registry.REQUEST_TEMPLATES[source], **fill),
+            "address": names.fill_template(registry.PRODUCT_ADDRESS, **fill),
+        }
+    )
+
+
 def completeness(expected: DataFrame, cells: DataFrame, on: list[str]) -> DataFrame:
     """Every expected row, with whether the cells hold anything for it and the error text if not."""
     present = cells.select(*on).distinct().withColumn("_here", F.lit(True))

@@ -18,6 +18,9 @@ class Source:
     max_cloud: float | None = None
     scale: float | None = None
     least_bytes: int = 0
+    must_open: bool = False
+    archive: str = ""
+    record: str = ""
 
 
 # Asset key of every band name a scene request may use.
@@ -79,10 +82,10 @@ SOURCES = {
     s.key: s
     for s in (
         Source("era5", "monthly", "era5", tuple(SHORT_NAMES.values()), "era5_{ym}_{var}"),
-        Source("modis_ndvi", "monthly", "terra", ("modis_ndvi",), "modis_ndvi_{ym}"),
+        Source("modis_ndvi", "monthly", "terra", ("modis_ndvi",), "modis_ndvi_{ym}", least_bytes=-1),
         Source("spei", "monthly", "CSIC", ("spei",), "SPEI_{ym}", "centre"),
         Source("esacci_landcover", "yearly", "ESA CCI", ("landcover",), "ESACCI_LC_{y}"),
-        Source("ecira", "yearly", "Uni Goettingen", ("ecira",), "ECIRA_{y}"),
+        Source("ecira", "yearly", "Uni Goettingen", ("ecira",), "ECIRA_{y}", must_open=True, archive="Total_IR.zip", record="15569388"),
         Source("sen2_aws", "daily", "S2", ("VISUAL",), "S2_{tile}_{t}_{aoi}", "centre"),
         Source("sen3_cdse", "daily", "Sen3_OLCI", ("OL_2_WFR",), "S3_{scene}_{var}", least_bytes=MIN_ARCHIVE_BYTES),
         Source("sen2_openeo", "daily", "Sentinel2-openeo", S2_BANDS, "S2_L2A_{t}", every_band=S2_BANDS, max_cloud=MAX_CLOUD, scale=REFLECTANCE_SCALE),
@@ -97,9 +100,15 @@ REQUEST_TEMPLATES = {
     "spei": "spei01.nc",
     "esacci_landcover": "ESACCI-LC-L4-LCCS-Map-300m-P1Y-{y}-v2.0.7.tif",
     "ecira": "Total_IR.zip",
+    "sen3_cdse": "{name}.zip",
 }
 
+# Fixed value: where a product is fetched from, filled with its id.
+PRODUCT_ADDRESS = "https://download.dataspace.copernicus.eu/odata/v1/Products({id})/$value"
+
 # Texts of failed rows.
 NOT_A_POLYGON = "polygon must be a GeoJSON geometry of type Polygon or MultiPolygon in EPSG:4326"
 FILE_MISSING = "File missing from download stream"
 FILE_INVALID = "Corrupted or unreadable GeoTIFF"
+NO_OVERLAP = "Input shapes do not overlap raster."
+ARCHIVE_UNUSABLE = "Archive is absent or not a valid ZIP"

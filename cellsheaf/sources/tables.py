@@ -1,8 +1,13 @@
 """Cell tables and manifests in Parquet."""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellsheaf import schemas
+from cellsheaf.operators.skew import lookup
+
 BLOCK_ROWS = 256
 #: Folders of an output. The area comes first: two areas share no output.
 KEYS = ("aoi_id", "source", "var", "slot")
@@ -57,3 +62,64 @@ def overwrite_slot(cells: DataFrame, path: str, keys: tuple[str, ...] = KEYS) ->
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("append").partitionBy("data_source").parquet(path)
+
+
+def work_unit() -> Column:
+    """What one attempt answers as a whole, as text: a scene of an area, or else a variable and time of an area.
+
+    All rows of a unit go together, so the bands of a scene take the place of the one failed row it had before.
+    """
+    scene = F.coalesce(F.try_element_at("metadata", F.lit("scene_id")), F.try_element_at("metadata", F.lit("Id")))
+    slot = F.struct("variable_name", "acquisition_time", "path")
+    return F.to_json(F.struct("data_source", "polygon", scene.alias("scene"), F.when(scene.isNull(), slot).alias("slot")))
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, str]:
+    """Folders of the attempts begun below a path, by number."""
+    system, place = _folder(spark, path)
+    names = [str(s.getPath().toString()) for s in system.listStatus(place)] if system.exists(place) else []
+    found = {re.search(r"/version=(\d+)$", name): name for name in names}
+    return {int(m[1]): name for m, name in found.items() if m}
+
+
+def upsert_manifest(manifest: DataFrame, path: str) -> int:
+    """Add the manifest of one attempt and return its number. Readers see the whole attempt or nothing of it.
+
+    Nothing is rewritten: each attempt is a folder version=N. Its number is taken by creating version N's claim file, which
+    fails if another writer has it; the job's commit marks the folder as whole, and read_manifest looks at no other. An attempt that is
+    lost on the way leaves a number that never counts.
+    """
+    spark = manifest.sparkSession
+    n = max(_versions(spark, path), default=0) + 1
+    while True:
+        system, claim = _folder(spark, f"{path}/_claims/{n}")
+        system.mkdirs(claim.getParent())
+        if system.createNewFile(claim):
+            break
+        n += 1
+    manifest.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST]).write.mode("error").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
+    ).parquet(f"{path}/version={n}")
+    return n
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the last whole attempt at each unit of work, with its `version`; a path without any gives an empty table.
+
+    The last attempt of a unit is a pre-aggregated maximum; rows meet it by the unit's text, which is never NULL.
+    """
+    whole = []
+    for name in _versions(spark, path).values():
+        system, mark = _folder(spark, f"{name}/_SUCCESS")
+        whole += [name] if system.exists(mark) else []
+    if not whole:
+        return spark.createDataFrame([], schemas.MANIFEST).withColumn("version", F.lit(0).cast("long"))
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d+)/[^/]*$", 1).cast("long")
+    rows = spark.read.schema(schemas.MANIFEST).parquet(*whole).withColumn("version", number).withColumn("_unit", work_unit())
+    last = rows.groupBy("_unit").agg(F.max("version").alias("_last"))
+    return lookup(rows, last, ["_unit"], ["path", "variable_name"]).where(F.col("version") == F.col("_last")).drop("_unit", "_last")

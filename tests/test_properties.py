@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellsheaf import aoi as aoi_mod
+from cellsheaf import registry
 from cellsheaf.functions import instants, names, projections, rings
 from cellsheaf.operators import catalog, cells, clip, files, manifest, pairing, resample, skew, slots, spatial, swath
+from cellsheaf.plans import archives
 from cellsheaf.sources import files as file_source
 from cellsheaf.sources import catalogues, tables
 
@@ -377,3 +379,74 @@ def test_coordinates_keep_all_their_digits(spark):
 def test_outputs_need_their_keys(spark, tmp_path):
     with pytest.raises(ValueError, match="aoi_id"):
         tables.write_raster(raster(spark), str(tmp_path / "out"))
+
+
+def _attempt(spark, rows, path):
+    m = spark.createDataFrame(rows, "variable_name string, path string, download_successful boolean, metadata map<string,string>")
+    return tables.upsert_manifest(manifest.to_manifest(m, data_source=F.lit("s")), path)
+
+
+def test_manifest_keeps_the_last_whole_attempt(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert tables.read_manifest(spark, path).count() == 0
+    request = [("a", "x/a.tif", False, None), ("b", "x/b.tif", True, None), ("W", "", False, {"Id": "p1"}), ("W", "", False, {"Id": None}), (None, None, False, None)]
+    assert _attempt(spark, request, path) == 1
+    # The product that failed as one row gives its bands; a row without scene is its own unit.
+    again = [("a", "x/a.tif", True, {}), ("B1", "u1", True, {"Id": "p1"}), ("B2", "u2", True, {"Id": "p1"}), (None, None, False, None)]
+    for n in (2, 3):
+        assert _attempt(spark, again, path) == n
+    want = {("a", True, 3), ("b", True, 1), ("B1", True, 3), ("B2", True, 3), ("W", False, 1), (None, False, 3)}
+    got = lambda: tables.read_manifest(spark, path).select("variable_name", "download_successful", "version").collect()
+    assert len(got()) == len(want) and {tuple(r) for r in got()} == want
+    # An attempt that another writer holds the number of, and one whose job never committed, count for nothing.
+    (tmp_path / "m" / "_claims" / "4").touch()
+    assert _attempt(spark, [("b", "x/b.tif", False, None)], path) == 5
+    (tmp_path / "m" / "version=5" / "_SUCCESS").unlink()
+    assert {tuple(r) for r in got()} == want
+    assert _attempt(spark, [("b", "x/b.tif", False, None)], path) == 6
+    assert {tuple(r) for r in got()} == want - {("b", True, 1)} | {("b", False, 6)}
+
+
+def test_cache_rules_by_source(spark):
+    tiff, zipped, end = b"II*\0", b"PK\3\4", b"PK\5\6" + bytes(18)
+    inv = [("e.tif", 1, tiff, b""), ("empty.tif", 0, tiff, b""), ("big.zip", 200_000_000, b"no", b"no"), ("small.zip", 5, zipped, end), ("cut.zip", 9, zipped, b"x" * 22)]
+    inv += [("cut.zip", None, None, None)]
+    held = spark.createDataFrame(inv, "path string, length long, head binary, tail binary")
+    ask = [("era5", "e.tif", True), ("era5", "empty.tif", False), ("modis_ndvi", "empty.tif", True), ("modis_ndvi", "absent", False), ("sen3_cdse", "big.zip", True)]
+    ask += [("sen3_cdse", "small.zip", False), ("ecira", "small.zip", True), ("ecira", "cut.zip", False), ("ecira", "big.zip", False), ("unknown", "e.tif", False), (None, "e.tif", False)]
+    out = files.cache_plan_by_source(spark.createDataFrame(ask, "source string, path string, want boolean"), held)
+    assert out.count() == len(ask) and out.where("cached <> want OR cached IS NULL").collect() == []
+    assert files.cache_plan_by_source(out.drop("cached"), held.limit(0)).where("cached").count() == 0
+
+
+def test_products_are_asked_for_by_name_and_id(spark):
+    found = spark.createDataFrame([("p1", "S3A.SEN3"), ("p2", None)], "scene_id string, name string")
+    got = {r["scene_id"]: (r["request"], r["address"]) for r in slots.plan_products(found).collect()}
+    assert got["p1"][0] == "S3A.SEN3.zip" and "/Products(p1)/$value" in got["p1"][1] and got["p2"][0] is None
+
+
+def test_yearly_archive(spark):
+    """Rasters of two CRSs; a year without one, one the area misses, an unusable archive and an area that is no polygon."""
+    members = spark.createDataFrame([("/z/deg_2000.tif",), ("/z/laea_2001.tif",), ("/z/far_2003.tif",), ("/z/notes_2002.txt",)], "path string")
+    frames = [("/z/deg_2000.tif", None, 0.0, 3.0, 0.5, -0.5), ("/z/laea_2001.tif", 3035, 4_000_000.0, 3_000_000.0, 1000.0, -1000.0), ("/z/far_2003.tif", 4326, 50.0, 3.0, 0.5, -0.5)]
+    grids = spark.createDataFrame([(*f, 8, 6, -1.0) for f in frames], "raster_id string, epsg int, x0 double, y0 double, dx double, dy double, width int, height int, nodata double")
+    numbered = spark.range(48).select((F.col("id") / 8).cast("int").alias("r"), (F.col("id") % 8).cast("int").alias("c"))
+    pixels = grids.select("raster_id").join(numbered).withColumn("v", F.when(F.col("r") == 0, -1.0).otherwise(F.col("c") * 1.0))
+    # The second part lies about the projected raster's corner.
+    shape = [[[[0.1, 0.1], [1.9, 0.1], [1.9, 2.9], [0.1, 2.9], [0.1, 0.1]]], [[[7, 48], [12, 48], [12, 52], [7, 52], [7, 48]]]]
+    area = aoi_mod.from_geojson("q", {"type": "MultiPolygon", "coordinates": shape})
+    picked = archives.pick(members, datetime(2000, 6, 1), datetime(2003, 1, 1)).cache()
+    out = archives.outputs(picked, pixels, grids, area).cache()
+    assert rows(out.where("year = 2000").groupBy("r").agg(F.count("*").alias("n"), F.count("v").alias("k")), "r", "n", "k") == [(r, 4, 4 if r else 0) for r in range(6)]
+    assert {r["year"] for r in out.select("year").distinct().collect()} <= {2000, 2001}
+    told = {r["acquisition_time"].year: r for r in archives.report(picked, out, grids, area).collect()}
+    assert told[2000]["download_successful"] and told[2000]["metadata"]["crs"] == "EPSG:4326" and told[2000]["metadata"]["source_file"] == "/z/deg_2000.tif"
+    assert told[2002]["error"] == "No GeoTIFF found for year=2002" and told[2002]["metadata"] is None and told[2003]["error"] == registry.NO_OVERLAP
+    assert (told[2001]["metadata"] or {}).get("crs") == "EPSG:3035" and told[2001]["path"] == "q/ECIRA_2001.tif"
+    whole = spark.createDataFrame([("/dl/Total_IR.zip", 9, b"PK\3\4", b"PK\5\6" + bytes(18))], "path string, length long, head binary, tail binary")
+    for held, ok in ((whole, True), (whole.withColumn("tail", F.lit(b"cut")), False), (whole.limit(0), False)):
+        judged = archives.report(picked, out, grids, area, held=archives.archive_held(held)).where("download_successful").count()
+        assert (judged > 0) == ok
+    point = aoi_mod.from_geojson("p", {"type": "Point", "coordinates": [1, 2]})
+    none = archives.outputs(picked, pixels, grids, point)
+    assert none.count() == 0 and archives.report(picked, none, grids, point).where(F.col("error") == registry.NOT_A_POLYGON).count() == 4

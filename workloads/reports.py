@@ -106,6 +106,34 @@ def cache_plan(spark, sf):
     return out.select("scene_id", "asset_key", "any_file", "non_empty", "big")
 
 
+_BY_SOURCE = ("era5", "modis_ndvi", "sen3_cdse", "ecira", "nowhere")
+
+
+@case(
+    "p4_cache_plan_by_source",
+    f"""
+WITH e AS (SELECT *, CASE scene_id % 5 WHEN 0 THEN 'era5' WHEN 1 THEN 'modis_ndvi' WHEN 2 THEN 'sen3_cdse' WHEN 3 THEN 'ecira' ELSE 'nowhere' END AS source FROM ({_EXPECTED}))
+SELECT scene_id, asset_key, source, coalesce(CASE source WHEN 'era5' THEN f.length > 0 WHEN 'modis_ndvi' THEN f.length IS NOT NULL WHEN 'sen3_cdse' THEN f.length > 100000000
+   WHEN 'ecira' THEN f.length > 0 AND left(head_hex, 8) IN ('49492A00','4D4D002A') END, false) AS cached FROM e LEFT JOIN {{fx_file}} f USING (path)""",
+)
+def cache_plan_by_source(spark, sf):
+    """Each request is judged by its own source's rule; listings repeated do not repeat requests."""
+    key = F.element_at(F.array(*[F.lit(k) for k in _BY_SOURCE]), (F.col("scene_id") % 5 + 1).cast("int"))
+    inv = inventory(spark, sf)
+    out = files.cache_plan_by_source(_requests(spark, sf).withColumn("source", key), inv.unionByName(inv))
+    return out.select("scene_id", "asset_key", "source", "cached")
+
+
+@case(
+    "p5_plan_products",
+    """SELECT scene_id, concat(name, '.zip') AS request, concat('https://download.dataspace.copernicus.eu/odata/v1/Products(', scene_id, ')/$value') AS address
+FROM {fx_scene} WHERE collection = 'SENTINEL-3'""",
+)
+def plan_products(spark, sf):
+    found = view(spark, sf, "fx_scene").where("collection = 'SENTINEL-3'")
+    return slots.plan_products(found).select("scene_id", "request", "address")
+
+
 @case(
     "p4_to_fetch",
     f"WITH e AS ({_EXPECTED}) SELECT path FROM e WHERE path NOT IN (SELECT path FROM {{fx_file}} WHERE length > 0)",
@@ -302,3 +330,34 @@ def write_manifest(spark, sf):
     return spark.read.parquet(path).select(
         "data_source", "variable_name", "acquisition_time", F.try_element_at("metadata", F.lit("round")).cast("int").alias("round")
     )
+
+
+@case(
+    "s7_upsert_manifest",
+    """
+WITH s AS (SELECT *, scene_id % 3 = 0 AS late, scene_id % 6 = 0 AS never FROM {fx_scene})
+SELECT cast(scene_id AS string) AS scene, name AS variable_name, true AS download_successful, cast(1 AS bigint) AS version FROM s WHERE NOT late
+UNION ALL SELECT cast(scene_id AS string), b.band, true, 3 FROM s CROSS JOIN (VALUES ('B4'), ('B11')) AS b(band) WHERE late AND NOT never
+UNION ALL SELECT cast(scene_id AS string), name, false, 3 FROM s WHERE never""",
+)
+def upsert_manifest(spark, sf):
+    """A request in which a third of the scenes fail, then two attempts at those: half of them give their bands. The second changes nothing."""
+    path, df = shared_folder(spark), view(spark, sf, "fx_scene")
+
+    def attempt(rows, ok):
+        m = manifest.to_manifest(
+            rows,
+            data_source=F.col("collection"),
+            acquisition_time=F.col("acq_start"),
+            download_successful=ok,
+            metadata=catalog.provenance(scene_id=F.col("scene_id")),
+        )
+        tables.upsert_manifest(m, path)
+
+    attempt(df.withColumn("variable_name", F.col("name")), F.col("scene_id") % 3 != 0)
+    late, never = df.where("scene_id % 3 = 0"), F.col("scene_id") % 6 == 0
+    names_of = F.when(never, F.array("name")).otherwise(F.array(F.lit("B4"), F.lit("B11")))
+    for _ in range(2):
+        attempt(late.withColumn("variable_name", F.explode(names_of)), ~never)
+    back = tables.read_manifest(spark, path)
+    return back.select(F.col("metadata")["scene_id"].alias("scene"), "variable_name", "download_successful", "version")
