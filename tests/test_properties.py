@@ -450,3 +450,30 @@ def test_yearly_archive(spark):
     point = aoi_mod.from_geojson("p", {"type": "Point", "coordinates": [1, 2]})
     none = archives.outputs(picked, pixels, grids, point)
     assert none.count() == 0 and archives.report(picked, none, grids, point).where(F.col("error") == registry.NOT_A_POLYGON).count() == 4
+
+
+def _squares(spark, rows, key):
+    shape = "array(struct(0 AS part, false AS hole, transform(array(array(0, 0), array(1, 0), array(1, 1), array(0, 1), array(0, 0)), p -> struct(x + p[0] * s AS x, y + p[1] * s AS y)) AS pts)) AS rings"
+    return spark.createDataFrame(rows, f"{key} long, x double, y double, s double").selectExpr(key, shape)
+
+
+def test_outlines_meet_in_their_cell_without_shuffling_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    scenes = [(i, round(rng.uniform(-9, 9), 2), round(rng.uniform(-9, 9), 2), 2.0) for i in range(300)] + [(7, 0.0, 0.0, 2.0), (None, 1.0, 1.0, 2.0)]
+    areas = [(i, round(rng.uniform(-9, 9), 2), round(rng.uniform(-9, 9), 2), rng.choice([0.5, 10.0])) for i in range(60)] + [(3, 1.0, 1.0, 0.5)]
+    want = sorted(str((a[0], b[0])) for a in scenes for b in areas if a[1] <= b[1] + b[3] and a[1] + a[3] >= b[1] and a[2] <= b[2] + b[3] and a[2] + a[3] >= b[2])
+    for most in (20_000, 4):
+        monkeypatch.setattr(spatial, "MOST", most, raising=False)
+        monkeypatch.setattr(spatial, "AT_ONCE", 50 * most, raising=False)
+        got = spatial.intersects(_squares(spark, scenes, "scene_id"), _squares(spark, areas, "aoi_id"))
+        assert sorted(str((r["scene_id"], r["aoi_id"])) for r in got.collect()) == want
+    assert "SortMergeJoin" not in got._jdf.queryExecution().toString()
+
+
+def test_scenes_bring_their_columns_to_their_areas(spark):
+    scenes = _squares(spark, [(1, 0.0, 0.0, 2.0), (1, 1.0, 0.0, 2.0), (2, 50.0, 0.0, 2.0), (None, 0.0, 0.0, 2.0)], "scene_id")
+    areas = _squares(spark, [(5, 0.5, 0.5, 9.0), (6, 2.5, 0.5, 9.0)], "aoi_id")
+    carry = spark.createDataFrame([(1, "a"), (1, None), (2, "c"), (3, "d")], "scene_id long, name string")
+    got = sorted(map(str, map(tuple, spatial.found_scenes(scenes, areas, carry).select("scene_id", "aoi_id", "name").collect())))
+    want = spatial.intersects(scenes, areas).join(carry, "scene_id").select("scene_id", "aoi_id", "name")
+    assert got == sorted(map(str, map(tuple, want.collect()))) and len(got) == 6
