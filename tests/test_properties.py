@@ -477,3 +477,37 @@ def test_scenes_bring_their_columns_to_their_areas(spark):
     got = sorted(map(str, map(tuple, spatial.found_scenes(scenes, areas, carry).select("scene_id", "aoi_id", "name").collect())))
     want = spatial.intersects(scenes, areas).join(carry, "scene_id").select("scene_id", "aoi_id", "name")
     assert got == sorted(map(str, map(tuple, want.collect()))) and len(got) == 6
+
+
+def test_samples_meet_their_pixels_without_joins_and_doubles_count(spark):
+    g = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0, 100, 100)], "scene_id long, minx double, miny double, maxx double, maxy double, width int, height int")
+    rows = [(1, "a", 5, 0.505, 0.505, 1.0), (1, "a", 5, 0.505, 0.505, 2.0), (1, "a", 4, 0.505, 0.515, 3.0), (1, "a", None, 0.105, 0.105, 4.0), (1, None, 6, 0.5, 0.5, 5.0)]
+    samples = spark.createDataFrame(rows, "scene_id long, var string, i long, lon double, lat double, v double")
+    near = swath.regrid_nearest(samples, g, ["scene_id", "var"], 500.0)
+    assert sorted((r["r"], r["c"], r["v"]) for r in near.collect()) == [(48, 50, 3.0), (49, 50, 1.0), (49, 50, 2.0)]
+    # Only the grid is joined.
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    full = swath.fill_missing(near, g, ["a", "WQSF"], "scene_id")
+    assert full.count() == 20_000 and [r["v"] for r in full.where("r = 49 AND c = 50 AND var = 'a'").collect()] == [2.0]
+
+
+def test_upsampling_is_dealt_by_target_blocks(spark):
+    kind = "raster_id string, width int, height int"
+    cells = spark.createDataFrame([("x", "b", r, 0, float(r)) for r in range(4)], "raster_id string, band string, r int, c int, v double")
+    out = resample.upsample_bilinear(cells, spark.createDataFrame([("x", 1, 4)], kind), spark.createDataFrame([("x", 70, 4000)], kind))
+    assert "_blk" in out._jdf.queryExecution().toString()
+    got = out.where("c = 3").select("r", "v").orderBy("r").collect()
+    want = [min(max((r + 0.5) * 4 / 4000 - 0.5, 0), 3) for r in range(4000)]
+    assert [r["v"] for r in got] == pytest.approx(want)
+
+
+def test_units_of_a_manifest_are_not_repeated(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("s", str(k % 3), k < 6) for k in range(9)], "data_source string, variable_name string, download_successful boolean")
+    for n, part in enumerate((rows, rows.where("variable_name = '1'"))):
+        tables.upsert_manifest(manifest.to_manifest(part), str(tmp_path / "m"))
+    for hot in (100_000, 2):
+        monkeypatch.setattr(tables, "HOT_ROWS", hot, raising=False)
+        monkeypatch.setattr(skew, "estimated_bytes", lambda table: 1 << 40)
+        got = tables.read_manifest(spark, str(tmp_path / "m"))
+        assert sorted((r["variable_name"], r["version"]) for r in got.collect()) == [("0", 1)] * 3 + [("1", 2)] * 3 + [("2", 1)] * 3
+        assert "_sub" not in got._jdf.queryExecution().toString()
