@@ -1,8 +1,8 @@
 """Change pixel size: area average down, bilinear up, and stacking of bands.
 
 Both resamplings scatter: a source pixel knows from the two grid shapes alone which target
-pixels it feeds and with what weight. So one narrow step and one partially aggregated
-groupBy suffice; neither needs a join between pixels.
+pixels it feeds and with what weight. So one narrow step and one groupBy suffice, partially aggregated on the way
+down and behind the shuffle of the source on the way up; neither needs a join between pixels.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -75,6 +75,33 @@ def _scatter(cells: DataFrame, sizes: DataFrame, on: list[str], targets) -> Data
     )
 
 
+#: Target pixels of a block of target rows, and of all blocks that are dealt to one task, about.
+BLOCK_PIXELS, TASK_PIXELS = 1 << 16, 1 << 20
+
+
+def _dealt_up(cells: DataFrame, sizes: DataFrame, on: list[str], targets, by: list[str]) -> DataFrame:
+    """As _scatter(), but made in the task of a block of target rows (`_blk`), where they are to be grouped.
+
+    Upsampling makes many target pixels of a source pixel, so source pixels are dealt, once for each block that they feed, and
+    to as many tasks as the target shapes have pixels for: Spark knows only the size of the source.
+    """
+    rest = [c for c in cells.columns if c not in ("r", "c")]
+    total = sizes.agg(F.sum(F.col("_wt").cast("double") * F.col("_ht"))).first()[0] or 0.0
+    tasks = max(cells.sparkSession.sparkContext.defaultParallelism, int(total // TASK_PIXELS) + 1)
+    high = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_PIXELS) / F.greatest("_wt", F.lit(1))).cast("int"))
+    rows = lookup(cells, sizes, on, ["r", "c"]).withColumn("_rows", F.explode(F.array(targets(F.col("r"), F.col("_hs"), F.col("_ht")))))
+    blocks = F.array_distinct(F.transform("_rows", lambda p: F.floor(p["i"] / high)))
+    dealt = rows.withColumn("_blk", F.explode(blocks)).withColumn("_rows", F.filter("_rows", lambda p: F.floor(p["i"] / high) == F.col("_blk")))
+    dealt = dealt.repartition(tasks, *by, "_blk")
+    return (
+        dealt.withColumn("_row", F.explode("_rows"))
+        .withColumn("_col", F.explode(targets(F.col("c"), F.col("_ws"), F.col("_wt"))))
+        .select(
+            *rest, "_blk", F.col("_row.i").alias("r"), F.col("_col.i").alias("c"), (F.col("_row.w") * F.col("_col.w")).alias("_w")
+        )
+    )
+
+
 def weighted_mean(v: Column, w: Column) -> Column:
     """NULL pixels carry no weight; a target that only has NULL sources is NULL."""
     known = F.when(v.isNotNull(), w)
@@ -102,8 +129,8 @@ def upsample_bilinear(
     """Bilinear interpolation of a coarser raster onto the shape of `target`."""
     on = on or ["raster_id"]
     by = by or [*on, "band"]
-    parts = _scatter(cells, _sizes(source, target, on), on, _bilinear_targets)
-    return parts.groupBy(*by, "r", "c").agg(weighted_mean(F.col("v"), F.col("_w")).alias("v"))
+    parts = _dealt_up(cells, _sizes(source, target, on), on, _bilinear_targets, by)
+    return parts.groupBy(*by, "_blk", "r", "c").agg(weighted_mean(F.col("v"), F.col("_w")).alias("v")).drop("_blk")
 
 
 def master_grid(band_grids: DataFrame, by: str = "scene_id") -> DataFrame:
@@ -126,10 +153,10 @@ def align_and_stack(cells: DataFrame, band_grids: DataFrame, bands: list[str], b
     """
     master = master_grid(band_grids, by).select(by, F.col("width").alias("_wt"), F.col("height").alias("_ht"))
     sizes = band_grids.select(by, "band", F.col("width").alias("_ws"), F.col("height").alias("_hs")).join(master, by)
-    parts = _scatter(cells, sizes, [by, "band"], _bilinear_targets)
+    parts = _dealt_up(cells, sizes, [by, "band"], _bilinear_targets, [by])
 
     def one(b):
         mine = F.col("band") == b
         return weighted_mean(F.when(mine, F.col("v")), F.when(mine, F.col("_w"))).alias(b)
 
-    return parts.groupBy(by, "r", "c").agg(*[one(b) for b in bands])
+    return parts.groupBy(by, "_blk", "r", "c").agg(*[one(b) for b in bands]).drop("_blk")
