@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsheaf import schemas
-from cellsheaf.operators.skew import lookup
 
 BLOCK_ROWS = 256
+#: Units of more rows than this meet their last attempt by broadcast; there are fewer of them than rows / HOT_ROWS.
+HOT_ROWS = 100_000
 #: Folders of an output. The area comes first: two areas share no output.
 KEYS = ("aoi_id", "source", "var", "slot")
 
@@ -111,7 +112,8 @@ def upsert_manifest(manifest: DataFrame, path: str) -> int:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the last whole attempt at each unit of work, with its `version`; a path without any gives an empty table.
 
-    The last attempt of a unit is a pre-aggregated maximum; rows meet it by the unit's text, which is never NULL.
+    The last attempt of a unit is a pre-aggregated maximum; rows meet it by the unit's text, which is never NULL. There are about as
+    many units as rows, so they are shuffled once and never repeated; only the few units of very many rows are broadcast.
     """
     whole = []
     for name in _versions(spark, path).values():
@@ -121,5 +123,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schemas.MANIFEST).withColumn("version", F.lit(0).cast("long"))
     number = F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d+)/[^/]*$", 1).cast("long")
     rows = spark.read.schema(schemas.MANIFEST).parquet(*whole).withColumn("version", number).withColumn("_unit", work_unit())
-    last = rows.groupBy("_unit").agg(F.max("version").alias("_last"))
-    return lookup(rows, last, ["_unit"], ["path", "variable_name"]).where(F.col("version") == F.col("_last")).drop("_unit", "_last")
+    last = rows.groupBy("_unit").agg(F.max("version").alias("_last"), F.count("*").alias("_n"))
+    hot = F.broadcast(last.where(F.col("_n") > HOT_ROWS).select("_unit", F.col("_last").alias("_hot")))
+    cold = last.where(F.col("_n") <= HOT_ROWS).select("_unit", "_last")
+    known = rows.join(hot, "_unit", "left")
+    few = known.where("_hot IS NULL").join(cold.hint("merge"), "_unit").where("version = _last").drop("_last")
+    return few.unionByName(known.where("version = _hot")).drop("_unit", "_hot")
