@@ -1,4 +1,4 @@
-"""Labels for training: a fixed fold is held out, and what is collected is a bounded sample."""
+"""Labels for training: a fixed fold is held out."""
 
 from __future__ import annotations
 
@@ -20,12 +20,6 @@ def training_labels(labels: DataFrame, label: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min(y).alias("y"), F.max(y).alias("z")).filter("y = z").drop("z")
 
 
-def sampled(labels: DataFrame, most: int) -> DataFrame:
-    """At most `most` rows of each class of training_labels(), those with the smallest hashes of their ids."""
-    order = F.xxhash64("doc_id")
-    return labels.filter("y = 1").orderBy(order).limit(most).union(labels.filter("y = 0").orderBy(order).limit(most))
-
-
 def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """doc_id, text and y of chosen documents; the ids are broadcast if they are few."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
