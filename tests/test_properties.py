@@ -511,3 +511,54 @@ def test_units_of_a_manifest_are_not_repeated(spark, tmp_path, monkeypatch):
         got = tables.read_manifest(spark, str(tmp_path / "m"))
         assert sorted((r["variable_name"], r["version"]) for r in got.collect()) == [("0", 1)] * 3 + [("1", 2)] * 3 + [("2", 1)] * 3
         assert "_sub" not in got._jdf.queryExecution().toString()
+
+
+def test_shapes_of_few_edges_meet_and_cover_as_those_of_many():
+    import numpy as np
+    import pyarrow as pa
+
+    from cellsheaf.functions.outlines import Outlines, Pairs
+    from workloads.fixtures import OUTLINES
+
+    kind = pa.list_(pa.struct([("part", pa.int32()), ("hole", pa.bool_()), ("pts", pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))]))
+    rng = np.random.default_rng(3)
+    shapes = [None, [], [{"part": 0, "hole": False, "pts": [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 1.0, "y": 1.0}]}]]
+    for _ in range(150):
+        # Coordinates of few values, so that outlines touch and share corners; some lie a turn away.
+        s, x, y, east = rng.choice([0.25, 0.5, 1.0]), *rng.integers(-6, 7, 2), rng.choice([0.0, 360.0])
+        outline = OUTLINES[int(rng.integers(0, 5))][1]
+        shapes.append([{"part": p, "hole": bool(h), "pts": [{"x": float(east + x + s * u), "y": float(y + s * v)} for u, v in pts]} for p, h, pts in outline])
+    shapes = Outlines(pa.array(shapes, kind))
+    n = len(shapes.few)
+    assert shapes.few.sum() == n - 3
+    i, j = np.divmod(np.arange(n * n), n)
+    for turn in (0.0, 360.0, np.repeat([-360.0, 0.0], n * n)[np.arange(n * n) * 2]):
+        few = Pairs(shapes, i, shapes, j, turn)
+        met, inside = few.meet(True)
+        shapes.few, kept = np.zeros(n, bool), shapes.few
+        many = Pairs(shapes, i, shapes, j, turn)
+        shapes.few = kept
+        assert (many.meet() == met).all() and (many.covered() == few.covered()).all() and (inside == met & few.covered()).all() and met.any()
+        for b in range(0, n, 29):
+            own = np.flatnonzero(j == b)
+            if np.ndim(turn) == 0:
+                alone = Pairs(shapes, i[own], shapes, b, turn).meet(True)
+                assert (alone[0] == met[own]).all() and (alone[1] == inside[own]).all()
+
+
+def test_matches_are_counted_where_they_meet(spark, monkeypatch):
+
+    rng = random.Random(8)
+    scenes = [(i, round(rng.uniform(-5, 5), 1), round(rng.uniform(-5, 5), 1), 2.0) for i in range(200)] + [(7, 0.0, 0.0, 2.0), (None, 1.0, 1.0, 2.0)]
+    areas = [(i, round(rng.uniform(-5, 5), 1), round(rng.uniform(-5, 5), 1), rng.choice([0.5, 10.0])) for i in range(20)] + [(3, 1.0, 1.0, 0.5), (30, 80.0, 80.0, 1.0)]
+    meets = lambda a, b: a[1] <= b[1] + b[3] and a[1] + a[3] >= b[1] and a[2] <= b[2] + b[3] and a[2] + a[3] >= b[2]
+    want = sorted((b[0], sum(meets(a, c) for a in scenes for c in areas if c[0] == b[0] and a[0] is not None)) for b in areas)
+    for crowded in (1500, 1):
+        monkeypatch.setattr(spatial, "CROWDED", crowded, raising=False)
+        out = catalog.match_count(_squares(spark, areas, "aoi_id"), _squares(spark, scenes, "scene_id")).select("aoi_id", "n_scenes")
+        assert sorted(map(tuple, out.collect())) == want
+    pairs = spatial.intersects(_squares(spark, scenes, "scene_id"), _squares(spark, areas, "aoi_id"))
+    assert sorted(map(str, map(tuple, pairs.collect()))) == sorted(str((a[0], b[0])) for a in scenes for b in areas if meets(a, b))
+    # No row of a pair leaves the test of outlines.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "scene_id" not in plan.split("MapInArrow")[0]
