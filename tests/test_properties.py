@@ -562,3 +562,22 @@ def test_matches_are_counted_where_they_meet(spark, monkeypatch):
     # No row of a pair leaves the test of outlines.
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "scene_id" not in plan.split("MapInArrow")[0]
+
+
+def test_areas_that_share_an_outline_stay_apart_in_a_report(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    orders = spark.range(40).selectExpr("id AS o_orderkey", "275 + 300 * (id % 3) AS o_custkey", "TIMESTAMP_NTZ '1996-01-01 00:00:00' AS o_orderdate", "1e0 AS o_totalprice", "'O' AS o_orderstatus")
+    # The fixture gives both areas the same outline.
+    spark.createDataFrame([(10,), (20020,)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    got = entry.queries()["m2_pending"](spark, str(tmp_path)).groupBy("aoi_id", "scene").count().collect()
+    found = spatial.intersects(_orders_found(spark, tmp_path), entry.workloads.fixtures.supplier_areas(spark, str(tmp_path))).collect()
+    assert sorted((r["aoi_id"], int(r["scene"])) for r in got) == sorted((r["aoi_id"], r["scene_id"]) for r in found) and len(got) > 2
+    assert {r["count"] for r in got} == {1} and {r["aoi_id"] for r in got} == {"s10", "s20020"}
+
+
+def _orders_found(spark, path):
+    from workloads import fixtures
+
+    return catalog.name_contains(fixtures.scenes(spark, str(path)), "OL_2_WFR", "_NT_")
