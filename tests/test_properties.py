@@ -1,5 +1,6 @@
 """Properties, published check points and edge cases."""
 
+import math
 import random
 import uuid
 from datetime import datetime
@@ -581,3 +582,43 @@ def _orders_found(spark, path):
     from workloads import fixtures
 
     return catalog.name_contains(fixtures.scenes(spark, str(path)), "OL_2_WFR", "_NT_")
+
+
+def test_whole_grids_are_made_of_runs(spark):
+    kind = "scene_id long, minx double, miny double, maxx double, maxy double, width int, height int"
+    shape = (10.0, 50.0, 11.0, 50.5, 150, 140)
+    # The second scene's grid comes twice, the third has no samples, the fourth no grid.
+    g = spark.createDataFrame([(k, *shape) for k in (1, 2, 2, 3)] + [(4, 0.0, 0.0, 1.0, 1.0, 1, 1)], kind)
+    rng = random.Random(4)
+    geometry = [(k, i, round(rng.uniform(9.9, 11.1), 3), round(rng.uniform(49.9, 50.6), 3)) for k in (1, 2, 5) for i in range(120)]
+    geometry += [(1, None, 10.5, 50.25), (1, 200, 10.7, 50.25), (1, 199, 10.7, 50.25), (1, 203, 10.2, 50.1), (2, 0, 400.0, 0.0)]
+    values = [(k, i, v, float(i + 1000 * (v == "b"))) for k, i, _, _ in geometry if i is not None and i % 7 for v in ("a", "b") if (v == "a" or i % 3)]
+    values += [(1, 203, "WQSF", None), (1, 199, "a", 5000.0), (1, 5, "c", 1.0)]
+    samples, held = spark.createDataFrame(geometry, "scene_id long, i int, lon double, lat double"), spark.createDataFrame(values, "scene_id long, i long, var string, v double")
+    names = F.when(F.col("scene_id") == 4, F.lit(None)).otherwise(F.array(F.lit("a"), F.lit("b"), F.lit("WQSF")))
+
+    def made():
+        return swath.regrid_filled(samples, held, g, names, "scene_id")
+
+    near = {}
+    for r in swath.nearest_samples(samples, g.distinct(), ["scene_id"]).collect():
+        near[r["scene_id"], r["r"], r["c"]] = r["i"]
+    best = {}
+    for k, i, var, v in values:
+        best[k, i, var] = max((x for x in (v, best.get((k, i, var))) if x is not None), default=None)
+    fill = {"WQSF": 0.0}
+    want = sorted(
+        str((k, var, r, c, best.get((k, near.get((k, r, c)), var), fill.get(var))))
+        for k in (1, 2, 2, 3) for var in ("a", "b", "WQSF") for r in range(140) for c in range(150)
+    )
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for most in (batch, "7"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+            assert sorted(str((r["scene_id"], r["var"], r["r"], r["c"], r["v"])) for r in made().collect()) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert len(near) > 1000
+    # No pixel is sorted or grouped: what aggregates are values of samples, grids, and grids of samples.
+    plan = made()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("MapInArrow")[0]
