@@ -622,3 +622,16 @@ def test_whole_grids_are_made_of_runs(spark):
     # No pixel is sorted or grouped: what aggregates are values of samples, grids, and grids of samples.
     plan = made()._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan.split("MapInArrow")[0]
+
+
+def test_the_wide_swath_grid_has_the_pixels_of_its_source(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(2, 1, datetime(1996, 1, 1), 1.0)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    events = [(i, "view" if i else "click", 2.5) for i in range(3)]
+    spark.createDataFrame(events, "event_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    (row,) = entry.queries()["fetch_swath_grid"](spark, str(tmp_path)).collect()
+    metres = 111_320.0 / registry.SWATH_PIXEL_METRES
+    assert row["pixels"] == math.floor(34 * metres * math.cos(math.radians(38.5))) * math.floor(29 * metres)
+    # About the disc of the search radius, in pixels of 300 m.
+    assert 60 < row["filled"] < 110 and row["total"] == row["filled"] * 2.5
